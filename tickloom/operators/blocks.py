@@ -7,10 +7,12 @@ work inside each (key, block), and pass only one or two rows per block on to the
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BLOCK = 65_536
+BLOCK = 1 << 20
 
 _COMBINE = {
     "max": (F.max, F.greatest),
@@ -19,58 +21,65 @@ _COMBINE = {
 }
 
 
+class Earlier(NamedTuple):
+    """The max, min or sum (``kind``) of ``value`` over all earlier rows with the same keys."""
+
+    name: str
+    kind: str
+    value: str
+    keys: tuple[str, ...] = ()
+
+
 def _block(order: Column, block: int) -> Column:
     return order - F.pmod(order, F.lit(block).cast("long"))
 
 
 def with_earlier(
-    df: DataFrame,
-    name: str,
-    kind: str,
-    value: str,
-    *,
-    order: str,
-    keys: tuple[str, ...] = (),
-    block: int = BLOCK,
-    levels: int = 2,
+    df: DataFrame, *specs: Earlier, order: str, block: int = BLOCK, levels: int = 1
 ) -> DataFrame:
-    """Add ``name``: the max, min or sum of ``value`` over all earlier rows of the same keys.
+    """Add a column per spec. ``order`` is a unique integer position.
 
-    ``order`` is a unique integer position. Rows are windowed per (keys, block); the totals of
-    whole blocks form a table ``block`` times smaller, which goes through the same step once
-    more per level, and are joined back. With two levels and the default block, the last window
-    sees one row per four billion positions.
+    Rows are windowed per (block, keys). The totals of whole blocks, ``block`` times fewer, are
+    accumulated on their own and joined back. Give specs with fewer keys first: their shuffle by
+    block serves those that follow. Each further level puts the block totals through the same
+    step again; with one level and the default block, a trillion positions leave the last window
+    a million rows.
     """
-    aggregate, combine = _COMBINE[kind]
-    blocked = df.withColumn("_block", _block(F.col(order), block))
-    inside = (
-        Window.partitionBy("_block", *keys)
-        .orderBy(order)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    rows = blocked.withColumn(name, aggregate(value).over(inside))
+    rows = blocked = df.withColumn("_block", _block(F.col(order), block))
+    for spec in specs:
+        inside = (
+            Window.partitionBy("_block", *spec.keys)
+            .orderBy(order)
+            .rowsBetween(Window.unboundedPreceding, -1)
+        )
+        rows = rows.withColumn(spec.name, _COMBINE[spec.kind][0](spec.value).over(inside))
+    for i, spec in enumerate(specs):
+        carry = f"_carry_{levels}_{i}"
+        carried = _carried(blocked, spec, carry, block, levels)
+        rows = (
+            rows.join(carried, ["_block", *spec.keys], "left")
+            .withColumn(spec.name, _COMBINE[spec.kind][1](F.col(spec.name), F.col(carry)))
+            .drop(carry)
+        )
+    return rows.drop("_block")
+
 
-    totals = blocked.groupBy("_block", *keys).agg(aggregate(value).alias("_total"))
-    carry = f"_carry_{levels}"
+def _carried(blocked: DataFrame, spec: Earlier, carry: str, block: int, levels: int) -> DataFrame:
+    """Per (block, keys): the total of all earlier blocks."""
+    aggregate = _COMBINE[spec.kind][0]
+    totals = blocked.groupBy("_block", *spec.keys).agg(aggregate(spec.value).alias("_total"))
     if levels > 1:
+        inner = Earlier(carry, spec.kind, "_total", spec.keys)
+        positions = totals.withColumnRenamed("_block", "_position")
         carried = with_earlier(
-            totals.withColumnRenamed("_block", "_position"),
-            carry,
-            kind,
-            "_total",
-            order="_position",
-            keys=keys,
-            block=block * block,
-            levels=levels - 1,
+            positions, inner, order="_position", block=block * block, levels=levels - 1
         ).withColumnRenamed("_position", "_block")
     else:
-        before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+        before = (
+            Window.partitionBy(*spec.keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+        )
         carried = totals.withColumn(carry, aggregate("_total").over(before))
-    return (
-        rows.join(carried.select("_block", *keys, carry), ["_block", *keys], "left")
-        .withColumn(name, combine(F.col(name), F.col(carry)))
-        .drop("_block", carry)
-    )
+    return carried.select("_block", *spec.keys, carry)
 
 
 def with_neighbour(
@@ -81,7 +90,7 @@ def with_neighbour(
     order: str,
     keys: tuple[str, ...],
     offset: int,
-    block: int,
+    block: int = BLOCK,
 ) -> DataFrame:
     """Add ``name``: ``value`` of the next (offset 1) or previous (-1) row of the same keys.
 

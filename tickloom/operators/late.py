@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.functions.timing import bucket_start
-from tickloom.operators.blocks import BLOCK, with_earlier
+from tickloom.operators.blocks import BLOCK, Earlier, with_earlier
 from tickloom.schema import WATERMARK_DELAY_MS, WINDOW_MS
 
 
@@ -30,10 +30,13 @@ def flag_late(
         # A rejected tick opens no window, and before 1970 all are.
         .withColumn("_end", F.when(start >= 0, F.col("end")))
     )
-    ends = with_earlier(
-        placed, "_first_end", "min", "_end", order="arrival", keys=("symbol",), block=block
+    seen = with_earlier(
+        placed,
+        Earlier("_latest", "max", "timestamp"),
+        Earlier("_first_end", "min", "_end", ("symbol",)),
+        order="arrival",
+        block=block,
     )
-    seen = with_earlier(ends, "_latest", "max", "timestamp", order="arrival", block=block)
     watermark = F.col("_latest") - F.lit(delay_ms + 1)
     sealed = F.col("_first_end") <= watermark
     late = (F.col("start") < 0) | (sealed & (F.col("start") < bucket_start(watermark, size_ms)))

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.functions.timing import bucket_start
-from tickloom.operators.blocks import BLOCK, with_earlier
+from tickloom.operators.blocks import BLOCK, Earlier, with_earlier
 from tickloom.schema import READY_TIMEOUT_S, WINDOW_MS
 
 MINUTE_MS = 60_000
@@ -23,7 +23,7 @@ def with_session(ticks: DataFrame, resets: DataFrame, *, block: int = BLOCK) ->
         allowMissingColumns=True,
     )
     counted = with_earlier(
-        marked, "session", "sum", "_reset", order="arrival", keys=("symbol",), block=block
+        marked, Earlier("session", "sum", "_reset", ("symbol",)), order="arrival", block=block
     )
     return (
         counted.filter(F.col("_reset") == 0)
@@ -37,16 +37,16 @@ def readiness_trigger(
 ) -> DataFrame:
     """Per symbol (and session): the first tick two windows past the minute of the first arrival.
 
-    ``until`` is that tick's minute. Ticks shrink to one row per minute before anything else;
-    within a minute only the earliest arrival matters.
+    ``until`` is that tick's minute. Ticks shrink to one row per minute before anything else,
+    since within a minute only the earliest arrival matters; the window sees those rows.
     """
     minutes = (
         ticks.withColumn("minute", bucket_start(F.col("timestamp"), MINUTE_MS))
         .groupBy(*keys, "minute")
         .agg(F.min("arrival").alias("arrival"))
     )
-    first = minutes.groupBy(*keys).agg(F.min_by("minute", "arrival").alias("first_minute"))
-    due = minutes.join(first, list(keys)).filter(
+    by_arrival = Window.partitionBy(*keys).orderBy("arrival")
+    due = minutes.withColumn("first_minute", F.first("minute").over(by_arrival)).filter(
         F.col("minute") >= F.col("first_minute") + F.lit(2 * size_ms)
     )
     return due.groupBy(*keys, "first_minute").agg(

@@ -44,13 +44,13 @@ def streaming_session(spark: SparkSession) -> SparkSession:
     """A sibling session for stateful queries, so the caller's settings stay as they are.
 
     The number of state partitions is fixed when a query first starts. It follows the caller's
-    shuffle setting, but not beyond two per core where that setting was left at its default.
+    shuffle setting, or the number of cores where that setting was left at its default of 200.
     """
     child = spark.newSession()
-    default = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if default == 200:
-        default = min(default, 2 * spark.sparkContext.defaultParallelism)
-    child.conf.set("spark.sql.shuffle.partitions", str(default))
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if partitions == 200:
+        partitions = spark.sparkContext.defaultParallelism
+    child.conf.set("spark.sql.shuffle.partitions", str(partitions))
     child.conf.set("spark.sql.session.timeZone", "UTC")
     child.conf.set(
         "spark.sql.streaming.stateStore.providerClass",

@@ -50,7 +50,9 @@ def create_candle_table(spark: SparkSession, name: str, *, file_format: str = "p
 
 def insert_candles(candles: DataFrame, name: str) -> None:
     """Append to a catalog table made by ``create_candle_table``."""
-    to_stored(candles).hint("rebalance", *PARTITION_COLUMNS).write.insertInto(name)
+    # Inserts go by position, and a catalog table keeps its partition columns last.
+    order = candles.sparkSession.table(name).columns
+    to_stored(candles).select(*order).hint("rebalance", *PARTITION_COLUMNS).write.insertInto(name)
 
 
 def read_candles(spark: SparkSession, path: str, *, file_format: str = "parquet") -> DataFrame:

@@ -18,13 +18,6 @@ _CHUNK = 50_000
 _INT64_SAFE = 9.2e18
 
 
-def _exact_sum(values: np.ndarray) -> int:
-    """An int64 sum that fails where it would wrap."""
-    if np.abs(values.astype("float64")).sum() > _INT64_SAFE:
-        raise OverflowError("window volume exceeds decimal(18,8)")
-    return int(values.sum())
-
-
 def _flat(symbol: str, first: int, stop: int, size_ms: int, close: int) -> Iterator[pd.DataFrame]:
     """Candles at ``close`` for every window start in [first, stop), in bounded chunks."""
     for begin in range(first, stop, size_ms * _CHUNK):
@@ -75,6 +68,52 @@ class GapFillProcessor(StatefulProcessor):
         pass
 
 
+def _windows_of(ticks: pd.DataFrame) -> dict[int, tuple]:
+    """Window state by start, from ticks without duplicates."""
+    start, ts, arrival, price, quantity, trade_id = (
+        ticks[c].to_numpy(dtype="int64")
+        for c in ("start", "timestamp", "arrival", "price", "quantity", "trade_id")
+    )
+    # The first arrival wins among equal timestamps, at either end of the window.
+    by_open = np.lexsort((arrival, ts, start))
+    by_close = np.lexsort((arrival, -ts, start))
+    starts, first = np.unique(start[by_open], return_index=True)
+    opening, closing = by_open[first], by_close[first]
+    quantities = quantity[by_open]
+    if np.add.reduceat(quantities.astype("float64"), first).max() > _INT64_SAFE:
+        raise OverflowError("window volume exceeds decimal(18,8)")
+    columns = (
+        ts[opening],
+        price[opening],
+        np.maximum.reduceat(price[by_open], first),
+        np.minimum.reduceat(price[by_open], first),
+        ts[closing],
+        price[closing],
+        np.add.reduceat(quantities, first),
+        np.diff(np.append(first, len(start))),
+    )
+    ids = np.split(trade_id[by_open], first[1:])
+    values = zip(*(c.tolist() for c in columns), (i.tolist() for i in ids), strict=True)
+    return dict(zip(starts.tolist(), values, strict=True))
+
+
+def _merge(held: tuple | None, new: tuple) -> tuple:
+    """Window state with later arrivals added."""
+    if held is None:
+        return new
+    opened = held[:2] if held[0] <= new[0] else new[:2]
+    closed = held[4:6] if held[4] >= new[4] else new[4:6]
+    return (
+        *opened,
+        max(held[2], new[2]),
+        min(held[3], new[3]),
+        *closed,
+        held[6] + new[6],
+        held[7] + new[7],
+        [*held[8], *new[8]],
+    )
+
+
 class CandleProcessor(StatefulProcessor):
     """Ticks in, contiguous candles out; a window is sealed once its candle is out.
 
@@ -87,15 +126,14 @@ class CandleProcessor(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._handle = handle
+        # Open windows only: a symbol has one or two in steady state.
         self._windows = handle.getMapState(
             "windows",
             "start bigint",
             "open_ts bigint, open bigint, high bigint, low bigint, close_ts bigint, close bigint, "
-            "volume bigint, trades bigint",
+            "volume bigint, trades bigint, trade_ids array<bigint>",
         )
-        self._trade_ids = handle.getMapState("trade_ids", "start bigint", "ids array<bigint>")
-        self._last_close = handle.getValueState("last_close", "close bigint")
-        self._min_open = handle.getValueState("min_open", "start bigint")
+        self._sealed = handle.getValueState("sealed", "min_open bigint, last_close bigint")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         (symbol,) = key
@@ -103,78 +141,63 @@ class CandleProcessor(StatefulProcessor):
             for _ in rows:
                 pass
             return
+        held = self._open_windows()
         # Spark hands over rows before timers. Windows already due are sealed first, so that a
         # tick arriving after its window's end passed is late here too.
-        if self._min_open.exists() or any(True for _ in self._windows.keys()):
-            yield from self._seal(symbol, timerValues.getCurrentWatermarkInMs())
-        # Bounded by the micro-batch. Arrival decides ties and duplicates, so it comes first.
-        ticks = pd.concat(list(rows), ignore_index=True).sort_values("arrival", kind="stable")
+        if held or self._sealed.exists():
+            yield from self._seal(symbol, held, timerValues.getCurrentWatermarkInMs())
+        sealed = self._sealed.exists()
+        min_open = int(self._sealed.get()[0]) if sealed else 0
+
+        # Bounded by the micro-batch. Arrival decides ties and duplicates.
+        ticks = pd.concat(list(rows), ignore_index=True)
         ticks["start"] = ticks["timestamp"] // self._size * self._size
-        min_open = int(self._min_open.get()[0]) if self._min_open.exists() else 0
-        ticks = ticks[ticks["start"] >= min_open].drop_duplicates(["start", "trade_id"])
-        for start, group in ticks.groupby("start", sort=True):
-            self._add(int(start), group)
-
-    def _add(self, start: int, ticks: pd.DataFrame) -> None:
-        slot = (start,)
-        seen = np.empty(0, dtype="int64")
-        if self._trade_ids.containsKey(slot):
-            seen = np.asarray(self._trade_ids.getValue(slot)[0], dtype="int64")
-            ticks = ticks[~ticks["trade_id"].isin(seen)]
-            if ticks.empty:
-                return
-        ids = np.concatenate([seen, ticks["trade_id"].to_numpy(dtype="int64")])
-        self._trade_ids.updateValue(slot, (ids.tolist(),))
-
-        # idxmin and idxmax return the first occurrence, and rows are in order of arrival.
-        first, last = ticks["timestamp"].idxmin(), ticks["timestamp"].idxmax()
-        open_ts, open_price = int(ticks.at[first, "timestamp"]), int(ticks.at[first, "price"])
-        close_ts, close_price = int(ticks.at[last, "timestamp"]), int(ticks.at[last, "price"])
-        high, low = int(ticks["price"].max()), int(ticks["price"].min())
-        volume, trades = _exact_sum(ticks["quantity"].to_numpy(dtype="int64")), len(ticks)
-
-        if self._windows.containsKey(slot):
-            held = [int(v) for v in self._windows.getValue(slot)]
-            if held[0] <= open_ts:
-                open_ts, open_price = held[0], held[1]
-            if held[4] >= close_ts:
-                close_ts, close_price = held[4], held[5]
-            high, low = max(high, held[2]), min(low, held[3])
-            volume, trades = volume + held[6], trades + held[7]
-        else:
-            self._handle.registerTimer(start + self._size)
-        self._windows.updateValue(
-            slot, (open_ts, open_price, high, low, close_ts, close_price, volume, trades)
-        )
+        ticks = ticks[ticks["start"] >= min_open]
+        ticks = ticks.sort_values("arrival").drop_duplicates(["start", "trade_id"])
+        for start, (*_, ids) in held.items():
+            ticks = ticks[(ticks["start"] != start) | ~ticks["trade_id"].isin(ids)]
+        if ticks.empty:
+            return
+        fresh = _windows_of(ticks)
+        for start, window in fresh.items():
+            self._windows.updateValue((start,), _merge(held.get(start), window))
+        # After the first seal a timer is always pending; before it, the earliest window needs one.
+        earliest = min(fresh)
+        if not sealed and earliest < min(held, default=earliest + 1):
+            self._handle.registerTimer(earliest + self._size)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         (symbol,) = key
-        yield from self._seal(symbol, timerValues.getCurrentWatermarkInMs())
+        yield from self._seal(symbol, self._open_windows(), timerValues.getCurrentWatermarkInMs())
+
+    def close(self) -> None:
+        pass
+
+    def _open_windows(self) -> dict[int, tuple]:
+        return {int(start): tuple(window) for (start,), window in self._windows.iterator()}
 
-    def _seal(self, symbol: str, watermark: int) -> Iterator[pd.DataFrame]:
-        """Emit every window the watermark has passed and remember where the next one starts."""
-        open_windows = sorted(int(k[0]) for k in self._windows.keys())
+    def _seal(self, symbol: str, held: dict[int, tuple], watermark: int) -> Iterator[pd.DataFrame]:
+        """Emit every window the watermark has passed, removing it from ``held`` and the state."""
         stop = watermark - watermark % self._size
-        sealed = self._min_open.exists()
-        cursor = int(self._min_open.get()[0]) if sealed else open_windows[0]
+        cursor, close = min(held, default=stop), None
+        if self._sealed.exists():
+            cursor, close = (int(v) for v in self._sealed.get())
         if cursor >= stop:
             return
-        close = int(self._last_close.get()[0]) if self._last_close.exists() else None
-        for start in (w for w in open_windows if w < stop):
+        due = sorted(start for start in held if start < stop)
+        traded = []
+        for start in due:
             yield from _flat(symbol, cursor, start, self._size, close)
-            _, opened, high, low, _, close, volume, trades = (
-                int(v) for v in self._windows.getValue((start,))
-            )
-            yield pd.DataFrame(
-                [[symbol, start, opened, high, low, close, volume, trades]], columns=_COLUMNS
-            )
-            self._windows.removeKey((start,))
-            self._trade_ids.removeKey((start,))
+            _, opened, high, low, _, close, volume, trades, _ = held.pop(start)
+            traded.append((symbol, start, opened, high, low, close, volume, trades))
             cursor = start + self._size
+        if traded:
+            yield pd.DataFrame(traded, columns=_COLUMNS)
         yield from _flat(symbol, cursor, stop, self._size, close)
-        self._last_close.update((close,))
-        self._min_open.update((stop,))
+        if held:
+            for start in due:
+                self._windows.removeKey((start,))
+        else:
+            self._windows.clear()
+        self._sealed.update((stop, close))
         self._handle.registerTimer(stop + self._size)
-
-    def close(self) -> None:
-        pass
