@@ -8,33 +8,35 @@ from tickloom.schema import PRICE
 UNIT = 100_000_000
 
 
+def _fail(message: str, text: Column, data_type) -> Column:
+    return F.raise_error(F.concat(F.lit(message + ": "), text)).cast(data_type)
+
+
 def exact_decimal(text: Column) -> Column:
-    """Text to price; more than eight significant fraction digits, or no number, raises."""
+    """Text to price; more than eight significant fraction digits, or no number, raises.
+
+    Plain notation with up to eight fraction digits needs one cast. Anything else goes through
+    a wider decimal and a look at the digits that would be lost.
+    """
+    dot = F.instr(text, ".")
+    plain = ~(text.contains("e") | text.contains("E"))
+    short = plain & ((dot == 0) | (F.length(text) - dot <= 8))
     wide = text.try_cast("decimal(38,20)")
     price = wide.try_cast(PRICE)
-    inexact = text.rlike(r"\.\d{8}0*[1-9]") | price.isNull() | (price != wide)
-    return (
-        F.when(text.isNull(), F.lit(None).cast(PRICE))
-        .when(inexact, F.raise_error(F.concat(F.lit("not a decimal(18,8): "), text)).cast(PRICE))
-        .otherwise(price)
-    )
+    exact = price.isNotNull() & (price == wide) & ~text.rlike(r"\.\d{8}0*[1-9]")
+    slow = F.when(exact, price).when(text.isNotNull(), _fail("not a decimal(18,8)", text, PRICE))
+    return F.coalesce(F.when(short, text.try_cast(PRICE)), slow)
 
 
 def whole_number(text: Column) -> Column:
     """Text to bigint; anything else raises."""
-    number = text.try_cast("long")
-    return (
-        F.when(text.isNull(), F.lit(None).cast("long"))
-        .when(number.isNull(), F.raise_error(F.concat(F.lit("not a whole number: "), text)).cast("long"))
-        .otherwise(number)
-    )
+    bad = F.when(text.isNotNull(), _fail("not a whole number", text, "long"))
+    return F.coalesce(text.try_cast("long"), bad)
 
 
 def required(value: Column, name: str, data_type) -> Column:
     """The value, or an error where it is missing."""
-    return F.when(
-        value.isNull(), F.raise_error(F.lit(f"record lacks {name}")).cast(data_type)
-    ).otherwise(value)
+    return F.coalesce(value, F.raise_error(F.lit(f"record lacks {name}")).cast(data_type))
 
 
 def to_units(price: Column) -> Column:

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.functions.decimals import exact_decimal, required, whole_number
 from tickloom.functions.streams import stream_symbol
+from tickloom.schema import PRICE
 
 # A map and not a struct: trade time ``T`` and trade id ``t`` differ by case only.
 _MESSAGE = "stream STRING, data MAP<STRING, STRING>"
@@ -22,15 +25,15 @@ def normalize_trades(messages: DataFrame, raw: str = "raw", arrival: Column | No
         columns.append(arrival.cast("long").alias("arrival"))
     trades = messages.select(*columns).filter(F.col("m.stream").isNotNull())
 
-    def field(name: str) -> Column:
-        return required(F.try_element_at(F.col("m.data"), F.lit(name)), name, "string")
+    def field(name: str, typed: Callable[[Column], Column] = lambda text: text, data_type="string") -> Column:
+        return required(typed(F.try_element_at(F.col("m.data"), F.lit(name))), name, data_type)
 
     return trades.select(
         stream_symbol(F.col("m.stream")).alias("routing_symbol"),
         field("s").alias("symbol"),
-        exact_decimal(field("p")).alias("price"),
-        exact_decimal(field("q")).alias("quantity"),
-        whole_number(field("T")).alias("timestamp"),
-        whole_number(field("t")).alias("trade_id"),
+        field("p", exact_decimal, PRICE).alias("price"),
+        field("q", exact_decimal, PRICE).alias("quantity"),
+        field("T", whole_number, "long").alias("timestamp"),
+        field("t", whole_number, "long").alias("trade_id"),
         *(["arrival"] if arrival is not None else []),
     )

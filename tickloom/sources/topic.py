@@ -71,10 +71,10 @@ def parse_records(topic: DataFrame, arrival: Column | None = None) -> DataFrame:
     return parsed.select(
         F.when(heartbeat, F.lit("heartbeat")).otherwise(F.lit("tick")).alias("kind"),
         tick_only(required(F.col("r.symbol"), "symbol", "string"), "string").alias("symbol"),
-        tick_only(exact_decimal(required(F.col("r.price"), "price", "string")), PRICE).alias("price"),
-        tick_only(exact_decimal(required(F.col("r.quantity"), "quantity", "string")), PRICE).alias("quantity"),
-        whole_number(required(F.col("r.timestamp"), "timestamp", "string")).alias("timestamp"),
-        tick_only(whole_number(required(F.col("r.trade_id"), "trade_id", "string")), "long").alias("trade_id"),
+        tick_only(required(exact_decimal(F.col("r.price")), "price", PRICE), PRICE).alias("price"),
+        tick_only(required(exact_decimal(F.col("r.quantity")), "quantity", PRICE), PRICE).alias("quantity"),
+        required(whole_number(F.col("r.timestamp")), "timestamp", "long").alias("timestamp"),
+        tick_only(required(whole_number(F.col("r.trade_id")), "trade_id", "long"), "long").alias("trade_id"),
         "arrival",
     ).select(*RECORD.fieldNames())
 
