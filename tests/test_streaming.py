@@ -1,8 +1,12 @@
 """Golden cases on the streaming pipelines: window 60 s, delay 0.5 s."""
 
+import random
+
 import pytest
-from conftest import Replay, heartbeat, tick
+from conftest import Replay, heartbeat, record_frame, tick
+from pyspark.sql import functions as F
 
+from tickloom.operators.gapfill import candles_filled
 from tickloom.streaming.candles import stream_candles, stream_candles_by_symbol, stream_candles_filled
 
 FILLED = [stream_candles_by_symbol, stream_candles_filled]
@@ -63,3 +67,21 @@ def test_tick_right_after_the_sealing_heartbeat_is_late(spark, run_dir):
 def test_no_ticks_no_rows(spark, run_dir, pipeline):
     r = replay(spark, run_dir, pipeline, [heartbeat(600000)], [heartbeat(700000)])
     assert r.rows() == []
+
+
+@pytest.mark.parametrize("pipeline", FILLED)
+def test_stream_equals_batch(spark, run_dir, pipeline):
+    """Disorder inside the delay, several micro-batches, a closing heartbeat."""
+    rng = random.Random(5)
+    records, clock = [], 10_000
+    for _ in range(300):
+        clock += rng.choice([200, 4_000, 9_000])
+        records.append(
+            tick(clock - rng.randrange(400), rng.randrange(1, 999) / 100, rng.randrange(1, 9), rng.randrange(60), rng.choice("XYZ"))
+        )
+    records += [heartbeat(clock + 400_000)]
+    r = replay(spark, run_dir, pipeline, records[:100], records[100:200], records[200:])
+    horizon = F.lit(clock + 400_000 - 500).cast("long")
+    batch = candles_filled(record_frame(spark, records), horizon_ms=horizon).collect()
+    expected = sorted(tuple(str(v) if hasattr(v, "as_tuple") else v for v in row) for row in batch)
+    assert r.rows() == expected

@@ -27,12 +27,12 @@ def dedup_ticks(ticks: DataFrame, size_ms: int = WINDOW_MS) -> DataFrame:
     All buffers are fixed-width, so this is a hash aggregate with a map-side partial: copies of
     one trade collapse before the shuffle, however many there are.
     """
+    return _first_arrivals(bucket_ticks(ticks, size_ms))
+
+
+def _first_arrivals(bucketed: DataFrame) -> DataFrame:
     first = [F.min_by(c, "arrival").alias(c) for c in ("price", "quantity", "timestamp")]
-    return (
-        bucket_ticks(ticks, size_ms)
-        .groupBy("symbol", "start", "trade_id")
-        .agg(*first, F.min("arrival").alias("arrival"))
-    )
+    return bucketed.groupBy("symbol", "start", "trade_id").agg(*first, F.min("arrival").alias("arrival"))
 
 
 def candles(
@@ -60,7 +60,7 @@ def candles(
     elif layout == "spread":
         trades = dedup_ticks(valid, size_ms)
     elif layout == "colocated":
-        trades = dedup_ticks(bucket_ticks(valid, size_ms).repartition("symbol", "start"), size_ms)
+        trades = _first_arrivals(bucket_ticks(valid, size_ms).repartition("symbol", "start"))
     else:
         raise ValueError(f"unknown layout: {layout}")
     return (
