@@ -29,12 +29,18 @@ MINUTE = 60_000
 
 @pytest.fixture(autouse=True, scope="module")
 def fixed_plans(spark):
-    """Without runtime re-planning, joins stay sort-merge joins and small cases run faster."""
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    """Small cases run faster without code generation and runtime re-planning, and joins stay
+    sort-merge joins. ``test_oracle`` covers the defaults."""
+    settings = {
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.codegen.wholeStage": "false",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
     yield
-    spark.conf.unset("spark.sql.adaptive.enabled")
-    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    for key in settings:
+        spark.conf.unset(key)
 
 
 def short(frame, symbol="X"):
