@@ -20,10 +20,12 @@ def normalize_trades(messages: DataFrame, raw: str = "raw", arrival: Column | No
 
     ``routing_symbol`` comes from the stream name, ``symbol`` from the trade itself.
     """
-    columns = [F.from_json(raw, _MESSAGE, {"mode": "FAILFAST"}).alias("m")]
+    parsed = F.array(F.from_json(raw, _MESSAGE, {"mode": "FAILFAST"}))
+    # A filter on the parsed column would be pushed below it and parse every message twice.
+    columns = [F.explode(F.filter(parsed, lambda m: m["stream"].isNotNull())).alias("m")]
     if arrival is not None:
         columns.append(arrival.cast("long").alias("arrival"))
-    trades = messages.select(*columns).filter(F.col("m.stream").isNotNull())
+    trades = messages.select(*columns)
 
     def field(name: str, typed: Callable[[Column], Column] = lambda text: text, data_type="string") -> Column:
         return required(typed(F.try_element_at(F.col("m.data"), F.lit(name))), name, data_type)
