@@ -1,11 +1,13 @@
 """The queries of this subpackage and their SQL."""
 
-from tickloom.llm import decontaminate
+from tickloom.llm import decontaminate, jaccard
 
 QUERIES = {
     "op6_benchmark_decontamination": decontaminate.op6_benchmark_decontamination,
+    "op8_jaccard_join": jaccard.op8_jaccard_join,
 }
 
 ORACLE = {
     "op6_benchmark_decontamination": decontaminate.SQL,
+    "op8_jaccard_join": jaccard.SQL,
 }
