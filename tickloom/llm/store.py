@@ -60,16 +60,16 @@ def numbered(df: DataFrame, order: list[str]) -> DataFrame:
     placed = stored(
         cut.withColumn("_m", F.monotonically_increasing_id()).select(
             *df.columns,
-            F.shiftright("_m", 33).alias("_part"),
+            F.shiftright("_m", 33).alias("_range"),
             F.col("_m").bitwiseAND((1 << 33) - 1).alias("_place"),
         ),
         "ranges",
     )
-    sizes = placed.groupBy("_part").count()
+    sizes = placed.groupBy("_range").count()
     starts = sizes.select(
-        F.col("_part").alias("_of"),
-        F.expr("sum(count) over (order by _part) - count").alias("_start"),
+        F.col("_range").alias("_of"),
+        F.expr("sum(count) over (order by _range) - count").alias("_start"),
     )
-    return placed.join(starts, F.col("_part") == F.col("_of")).select(
+    return placed.join(starts, F.col("_range") == F.col("_of")).select(
         *df.columns, (F.col("_start") + F.col("_place")).alias("row_number")
     )
