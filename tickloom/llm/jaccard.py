@@ -31,6 +31,8 @@ _U = np.uint64
 _RATIO = 1.5
 #: Fragments whose overlaps are counted separately for a pair.
 _COUNTED = 16
+#: Cells in which shingles are counted for their rarity, as a power of two.
+_COUNT_BITS = 20
 
 
 def _sets(texts: Texts, size: int) -> tuple[np.ndarray, np.ndarray, Words]:
@@ -147,6 +149,44 @@ def _segment_rows(size: int, levels: _Levels, known=None):
     return run
 
 
+def _cell_counts(size: int):
+    """(cell, n): how many sets have a shingle in each of a fixed number of cells."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << _COUNT_BITS, np.int64)
+        for batch in steps(batches):
+            codes = _sets(Texts(batch["text"]), size)[1]
+            total += np.bincount(codes >> _U(64 - _COUNT_BITS), minlength=len(total))
+        seen = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(seen.astype(np.int32)), pa.array(total[seen])], ["cell", "n"])
+
+    return run
+
+
+def _rarest(size: int, num: int, den: int, counts):
+    """(token, key, n, x): the shingles of each set of which a similar set must have one.
+
+    Shingles are taken in order of the count of their cell, then of their hash: one order for all
+    sets, whatever the counts, so two sets that are similar meet in the first ones of both.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in steps(batches):
+            owner, codes, _ = _sets(Texts(batch["text"]), size)
+            rarity = counts.value[codes >> _U(64 - _COUNT_BITS)]
+            order = np.lexsort((codes, rarity, owner))
+            owner, codes = owner[order], codes[order]
+            n = np.bincount(owner, minlength=batch.num_rows)
+            place = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
+            taken = place < (n - -(-n * num // den) + 1)[owner]
+            owner = pa.array(owner[taken])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(codes[taken].view(np.int64)), *(batch[c].take(owner) for c in ("key", "n", "x"))], ["token", "key", "n", "x"]
+            )
+
+    return run
+
+
 def _verified(size: int, num: int, den: int):
     """Rows (a, b) whose texts ``ta`` and ``tb`` link; overlaps are counted per fragment and summed."""
 
@@ -251,14 +291,24 @@ def jaccard_components(
     )
     links = links.union(verify(second))
     labels = components(links)
-    # and with every other representative under the same segment in another component
+    # and those still under one segment with another component: with all that share one of their
+    # rarest shingles, as two sets with this similarity must
     split = labelled(held, labels, "key", "x")
     mixed = split.groupBy("segment").agg(F.min("x").alias("low"), F.max("x").alias("high")).filter("low < high").select("segment")
-    open_rows = stored(split.join(mixed, "segment"), "open")
-    left = open_rows.select("segment", F.col("key").alias("a"), "n", F.col("x").alias("xa"))
-    right = open_rows.select("segment", F.col("key").alias("b"), F.col("x").alias("xb"), F.col("n").alias("nb"))
+    apart = split.join(mixed, "segment").select("key", "n", "x").distinct()
+    own = stored(apart.join(texts, "key"), "apart")
+    counts = np.zeros(1 << _COUNT_BITS, np.int64)
+    cells = own.select("text").mapInArrow(_cell_counts(size), "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    counts[cells["cell"].to_numpy()] = cells["n"].to_numpy()
+    tokens = own.mapInArrow(
+        _rarest(size, num, den, spark.sparkContext.broadcast(counts)), "token long, key long, n long, x long"
+    )
+    crossing = tokens.groupBy("token").agg(F.min("x").alias("low"), F.max("x").alias("high")).filter("low < high").select("token")
+    tokens = stored(tokens.join(crossing, "token"), "tokens")
+    left = tokens.select("token", F.col("key").alias("a"), "n", F.col("x").alias("xa"))
+    right = tokens.select("token", F.col("key").alias("b"), F.col("x").alias("xb"), F.col("n").alias("nb"))
     third = (
-        left.join(right, "segment")
+        left.join(right, "token")
         .filter((F.col("a") > F.col("b")) & (F.col("xa") != F.col("xb")) & (F.least("n", "nb") * den >= F.greatest("n", "nb") * num))
         .select("a", "b", "n")
         .distinct()
