@@ -1,13 +1,22 @@
 """The queries of this subpackage and their SQL."""
 
-from tickloom.llm import decontaminate, jaccard
+from tickloom.llm import decontaminate, jaccard, language, licenses, pieces, quality, shards, substrings
 
 QUERIES = {
+    "op1_license_scan": licenses.op1_license_scan,
+    "op2_quality_rules": quality.op2_quality_rules,
+    "op3_feistel_shards": shards.op3_feistel_shards,
+    "op4_language_id": language.op4_language_id,
     "op6_benchmark_decontamination": decontaminate.op6_benchmark_decontamination,
+    "op7_substring_dedup": substrings.op7_substring_dedup,
     "op8_jaccard_join": jaccard.op8_jaccard_join,
+    "op10_sentencepiece": pieces.op10_sentencepiece,
 }
 
 ORACLE = {
+    "op1_license_scan": licenses.SQL,
+    "op2_quality_rules": quality.SQL,
     "op6_benchmark_decontamination": decontaminate.SQL,
+    "op7_substring_dedup": substrings.SQL,
     "op8_jaccard_join": jaccard.SQL,
 }
