@@ -147,15 +147,15 @@ _VALUES = ", ".join(
     for k, w in enumerate(words)
 )
 SQL = rf"""
-with t(n, label, k, w, key, at) as (values {_VALUES}),
+with t(n, label, k, w, key, off) as (values {_VALUES}),
 d as materialized (select doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as ws from documents),
 p as materialized (select doc_id, i - 1 as i, ws[i] as w from d, unnest(range(1, len(ws) + 1)) as u(i) where ws[i] in (select w from t)),
 weight as (select w, (round(1000 * log2((1 + (select count(*) from documents)) / (1 + coalesce(n, 0)))) + 1)::bigint as v
     from (select distinct w from t) left join (select w, count(distinct doc_id) as n from p group by w) using (w)),
-size as (select n, any_value(label) as label, any_value(at) as at, count(*) filter (key) as keys, sum(v) as total from t join weight using (w) group by n),
+size as (select n, any_value(label) as label, any_value(off) as off, count(*) filter (key) as keys, sum(v) as total from t join weight using (w) group by n),
 place as (select doc_id, n, i - k as s from p join t using (w) where key group by doc_id, n, i - k having count(*) = (select keys from size where size.n = t.n)),
 m as (select doc_id, n, s, sum(v) as got from place join t using (n) join p using (doc_id) join weight on weight.w = t.w where p.w = t.w and p.i = s + t.k group by all),
-x as (select doc_id, n, label, s + at as start, got / total as score from m join size using (n)),
+x as (select doc_id, n, label, s + off as start, got / total as score from m join size using (n)),
 r as (select doc_id, count(*) filter (n < {_BASE}) as n_base, min(start) filter (n < {_BASE}) as first_word, max(start) filter (n < {_BASE}) as last_word,
     string_agg(distinct label, ',' order by label) filter (n < {_BASE}) as base_labels, string_agg(distinct label, ',' order by label) as labels, max(score) as score
     from x group by doc_id)

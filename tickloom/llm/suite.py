@@ -1,12 +1,13 @@
 """The queries of this subpackage and their SQL."""
 
-from tickloom.llm import decontaminate, jaccard, language, licenses, pieces, quality, shards, substrings
+from tickloom.llm import decontaminate, jaccard, language, licenses, pieces, quality, secrets, shards, substrings
 
 QUERIES = {
     "op1_license_scan": licenses.op1_license_scan,
     "op2_quality_rules": quality.op2_quality_rules,
     "op3_feistel_shards": shards.op3_feistel_shards,
     "op4_language_id": language.op4_language_id,
+    "op5_secret_scan": secrets.op5_secret_scan,
     "op6_benchmark_decontamination": decontaminate.op6_benchmark_decontamination,
     "op7_substring_dedup": substrings.op7_substring_dedup,
     "op8_jaccard_join": jaccard.op8_jaccard_join,
