@@ -1,6 +1,6 @@
 """The queries of this subpackage and their SQL."""
 
-from tickloom.llm import decontaminate, jaccard, language, licenses, pieces, quality, secrets, shards, substrings
+from tickloom.llm import bytespans, decontaminate, jaccard, language, licenses, pieces, quality, secrets, shards, substrings
 
 QUERIES = {
     "op1_license_scan": licenses.op1_license_scan,
@@ -11,6 +11,7 @@ QUERIES = {
     "op6_benchmark_decontamination": decontaminate.op6_benchmark_decontamination,
     "op7_substring_dedup": substrings.op7_substring_dedup,
     "op8_jaccard_join": jaccard.op8_jaccard_join,
+    "op9_suffix_dedup": bytespans.op9_suffix_dedup,
     "op10_sentencepiece": pieces.op10_sentencepiece,
 }
 
@@ -20,4 +21,5 @@ ORACLE = {
     "op6_benchmark_decontamination": decontaminate.SQL,
     "op7_substring_dedup": substrings.SQL,
     "op8_jaccard_join": jaccard.SQL,
+    "op9_suffix_dedup": bytespans.SQL,
 }
