@@ -187,6 +187,17 @@ def _rarest(size: int, num: int, den: int, counts):
     return run
 
 
+def _held_keys(known):
+    """The rows whose key may be a known one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cell = batch["cell"].to_numpy().astype(_U)
+            yield batch.select(["key", "text"]).filter(pa.array(holds(known.value, cell)))
+
+    return run
+
+
 def _verified(size: int, num: int, den: int):
     """Rows (a, b) whose texts ``ta`` and ``tb`` link; overlaps are counted per fragment and summed."""
 
@@ -265,8 +276,13 @@ def jaccard_components(
         fit = pairs.join(sizes, pairs["b"] == sizes["other"]).filter(
             (F.least("n", "m") * den >= F.greatest("n", "m") * num)
         )
-        ta = texts.select(F.col("key").alias("a"), F.col("text").alias("ta"))
-        tb = texts.select(F.col("key").alias("b"), F.col("text").alias("tb"))
+        fit = stored(fit.select("a", "b"), "fit")
+        # texts of other documents, but for few, are left out before the shuffle
+        cell = F.shiftrightunsigned(F.xxhash64("key"), 64 - BITS)
+        wanted = fit.select(F.explode(F.array("a", "b")).alias("key")).select(cell.alias("cell"))
+        some = texts.withColumn("cell", cell).mapInArrow(_held_keys(spark.sparkContext.broadcast(bitmap(wanted))), "key long, text string")
+        ta = some.select(F.col("key").alias("a"), F.col("text").alias("ta"))
+        tb = some.select(F.col("key").alias("b"), F.col("text").alias("tb"))
         return stored(
             fit.select("a", "b").join(ta, "a").join(tb, "b").select("a", "b", "ta", "tb").mapInArrow(
                 _verified(size, num, den), "a long, b long"
