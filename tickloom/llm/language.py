@@ -72,6 +72,8 @@ class Trees:
         """``short`` and ``long`` have (lang, gram, n): bytes with two before them, and with three
         where those are a kept context."""
         self.langs = langs
+        if not langs:
+            return
         lang, gram, n = (short[c].to_numpy() for c in ("lang", "gram", "n"))
         # bytes seen in learning are numbered from 1; all others share number 0
         seen = np.unique(gram & 0xFF)
