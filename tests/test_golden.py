@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import os
 import random
 import zipfile
 from decimal import Decimal
@@ -14,7 +15,7 @@ from tickloom.functions.decimals import exact_decimal, from_units, to_units
 from tickloom.functions.timing import bucket_start, iso_utc, month_key
 from tickloom.operators import catalog, readiness, subscriptions
 from tickloom.operators.blocks import Earlier, with_earlier, with_neighbour
-from tickloom.operators.candles import candles, choose_layout, largest_window, to_candle_schema
+from tickloom.operators.candles import candles, to_candle_schema
 from tickloom.operators.gapfill import candles_as_streamed, candles_filled, fill_gaps
 from tickloom.operators.late import flag_late
 from tickloom.plans import backfill
@@ -448,10 +449,59 @@ def test_silence_longer_than_a_block(spark):
     assert filled.filter("trades = 0").count() == 29_998
 
 
-def test_layout_choice(spark):
-    frame = record_frame(spark, [tick(1, 1, 1, i) for i in range(5)] + [heartbeat(1)])
-    assert largest_window(frame) == 5
-    assert (choose_layout(frame, max_rows=5), choose_layout(frame, max_rows=4)) == ("colocated", "spread")
+def test_values_that_do_not_fit_raise(spark):
+    row = "SELECT 'A' AS symbol, 0L AS start, 1L AS end, {} AS open, 1 AS high, 1 AS low, 1 AS close, {} AS volume, 1 AS trades"
+    good = to_candle_schema(spark.sql(row.format("1.50000000000BD", "'2e-8'"))).first()
+    assert (good.open, good.volume) == (Decimal("1.5"), Decimal("2e-8"))
+    for bad in ("1.123456789BD", "0.000000001BD", "12345678901.5BD", "'1e-9'", "'1e-21'", "'1.0000000000000000000001e-3'"):
+        with pytest.raises(Exception, match="does not fit|not a decimal"):
+            to_candle_schema(spark.sql(row.format(bad, "1"))).collect()
+
+
+def test_exponents_by_their_digits(spark):
+    texts = ["0e-30", "100e-10", "1.20E2", "12300e-10"]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select(exact_decimal(F.col("t")).alias("v")).collect()
+    assert [r.v for r in got] == [Decimal(t) for t in ("0", "1e-8", "120", "1.23e-6")]
+
+
+def test_kline_without_a_price_raises(spark):
+    pages = spark.createDataFrame([("A", '[[0,null,"1","1","1","1",59999,"0",3]]')], "symbol string, payload string")
+    with pytest.raises(Exception, match="lacks open"):
+        klines.klines_json(pages).collect()
+
+
+def test_bad_archive_row_fails_its_file(spark, run_dir):
+    header = "open_time,open,high,low,close,volume,close_time,count\n"
+    bodies = {
+        "A": header + "0,1,1,1,1,1,59999,1\n,1,1,1,1,1,59999,1\n",
+        "B": header + "0,1.123456789,1,1,1,1,59999,1\n",
+        "C": "count,close_time,volume,close,low,high,open,open_time\n4,59999,1,1,1,1,2,0\n",
+        "D": header,
+    }
+    for name, body in bodies.items():
+        folder = f"{run_dir}/daily/klines/{name}/1m"
+        os.makedirs(folder)
+        with zipfile.ZipFile(f"{folder}/{name}-1m-1970-01-01.zip", "w") as z:
+            z.writestr("x.csv", body)
+    scanned = klines.read_archives(klines.archive_files(spark, run_dir))
+    outcomes = {r.path.split("/")[-1][0]: (r.rows, r.error) for r in klines.archive_outcomes(scanned).collect()}
+    assert outcomes == {"A": (0, "unusable row 2"), "B": (0, "unusable row 1"), "C": (1, None), "D": (0, None)}
+    assert [(r.symbol, int(r.open), r.trades) for r in klines.archive_candles(scanned).collect()] == [("C", 2, 4)]
+
+
+def test_candles_are_hash_aggregates(spark):
+    plan = candles(record_frame(spark, [tick(1, 1, 1, 1)]))._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
+
+
+def test_not_ready_fails_with_the_names(spark):
+    asked = spark.createDataFrame([("B", 0), ("A", 0), ("C", 0)], "symbol string, started_ms long")
+    signals = spark.createDataFrame([("C", 5)], "symbol string, ready_ms long")
+    report = readiness.readiness_report(asked, signals, timeout_s=1)
+    with pytest.raises(Exception, match="not ready: A, B; slowest ready after ms: 5"):
+        readiness.require_ready(report).collect()
+    ready = readiness.readiness_report(asked.filter("symbol = 'C'"), signals, timeout_s=1)
+    assert readiness.require_ready(ready).count() == 1
 
 
 @pytest.mark.parametrize("levels", [1, 2, 3])

@@ -13,7 +13,13 @@ def _fail(message: str, text: Column, data_type) -> Column:
 
 
 def exact_decimal(text: Column) -> Column:
-    """Text to price; more than eight significant fraction digits, or no number, raises.
+    """Text to price; more than eight significant fraction digits, or no number, raises."""
+    bad = F.when(text.isNotNull(), _fail("not a decimal(18,8)", text, PRICE))
+    return F.coalesce(try_exact_decimal(text), bad)
+
+
+def try_exact_decimal(text: Column) -> Column:
+    """Text to price, or NULL where it is no number or has more fraction digits than a price.
 
     Plain notation with up to eight fraction digits needs one cast. Anything else goes through
     a wider decimal and a look at the digits that would be lost.
@@ -23,9 +29,19 @@ def exact_decimal(text: Column) -> Column:
     short = plain & ((dot == 0) | (F.length(text) - dot <= 8))
     wide = text.try_cast("decimal(38,20)")
     price = wide.try_cast(PRICE)
-    exact = price.isNotNull() & (price == wide) & ~text.rlike(r"\.\d{8}0*[1-9]")
-    slow = F.when(exact, price).when(text.isNotNull(), _fail("not a decimal(18,8)", text, PRICE))
-    return F.coalesce(F.when(short, text.try_cast(PRICE)), slow)
+    exact = price.isNotNull() & (price == wide) & F.when(plain, ~text.rlike(r"\.\d{8}0*[1-9]")).otherwise(_fits(text))
+    return F.coalesce(F.when(short, text.try_cast(PRICE)), F.when(exact, price))
+
+
+def _fits(text: Column) -> Column:
+    """Whether a number with an exponent has at most eight fraction digits, by its digits: a wide
+    decimal may already have rounded them away."""
+    parts = r"^\s*[+-]?(\d*)\.?(\d*)[eE]([+-]?\d+)[dDfF]?\s*$"
+    fraction = F.regexp_extract(text, parts, 2)
+    digits = F.concat(F.regexp_extract(text, parts, 1), fraction)
+    zeros = F.length(digits) - F.length(F.rtrim(digits, F.lit("0")))
+    places = F.length(fraction) - zeros - F.regexp_extract(text, parts, 3).try_cast("int")
+    return (digits.rlike("^0+$")) | F.coalesce(places <= 8, F.lit(False))
 
 
 def whole_number(text: Column) -> Column:
@@ -39,6 +55,20 @@ def required(value: Column, name: str, data_type) -> Column:
     return F.coalesce(value, F.raise_error(F.lit(f"record lacks {name}")).cast(data_type))
 
 
+def kept_exactly(value: Column, source, target) -> Column:
+    """A value of type ``source`` as ``target``; one that the cast would change raises."""
+    if source == target:
+        return value
+    if source.typeName() == "string":
+        if target == PRICE:
+            return exact_decimal(value)
+        return whole_number(value) if target.typeName() == "bigint" or target.typeName() == "long" else value.cast(target)
+    cast = value.try_cast(target)
+    same = cast.try_cast(source) == value if source.typeName() in ("float", "double") else cast == value
+    bad = F.when(value.isNotNull(), _fail(f"does not fit {target.simpleString()}", value.cast("string"), target))
+    return F.coalesce(F.when(same, cast), bad)
+
+
 def to_units(price: Column) -> Column:
     """Price as a whole number of 1e-8 units, for operators that work on integers."""
     return (price * F.lit(UNIT)).cast("long")

@@ -31,10 +31,11 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--window-ms", type=int, default=WINDOW_MS)
     parser.add_argument("--delay-ms", type=int, default=WATERMARK_DELAY_MS)
     parser.add_argument("--trigger", default="1 second", help="time between micro-batches")
-    parser.add_argument("--max-offsets", type=int, help="bound on records per micro-batch")
+    parser.add_argument("--max-offsets", type=int, default=5_000_000, help="bound on records per micro-batch")
+    parser.add_argument("--state-partitions", type=int, help="fixed at the first start of a checkpoint")
     args = parser.parse_args(argv)
 
-    spark = streaming_session(build_session("tick-stream"))
+    spark = streaming_session(build_session("tick-stream"), args.state_partitions)
     topic = kafka_topics(spark, args.bootstrap_servers, max_offsets_per_trigger=args.max_offsets)
     candles = PIPELINES[args.pipeline](
         parse_records(topic), size_ms=args.window_ms, delay_ms=args.delay_ms

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from decimal import Decimal
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tickloom.functions.decimals import kept_exactly
 from tickloom.functions.timing import bucket_start, month_key
 from tickloom.schema import CANDLE, CANDLE_COLUMNS, PRICE, WINDOW_MS
 
@@ -21,6 +24,16 @@ def candle_ticks(ticks: DataFrame) -> DataFrame:
     return ticks.filter(F.col("symbol").isNotNull() & (F.col("timestamp") >= 0))
 
 
+def order_key(*, first: bool = True) -> Column:
+    """(timestamp, arrival) in one number of fixed width, so that candles stay a hash aggregate.
+
+    Of equal timestamps the first arrival is the smallest key, or with ``first=False`` the largest.
+    """
+    time = F.col("timestamp").cast("decimal(19,0)") * F.lit(Decimal(10**19))
+    place = F.col("arrival").cast("decimal(19,0)")
+    return (time + place if first else time - place).cast("decimal(38,0)")
+
+
 def dedup_ticks(ticks: DataFrame, size_ms: int = WINDOW_MS) -> DataFrame:
     """Keep the first arrival per (symbol, window, trade id).
 
@@ -52,7 +65,7 @@ def candles(
 
     ``layout`` says how deduplication shuffles. ``spread`` hashes by trade and stands any skew.
     ``colocated`` hashes by window and so needs no second shuffle; take it when no window is
-    too large for a task, which ``largest_window`` tells.
+    too large for a task, as the caller must know.
     """
     valid = candle_ticks(ticks)
     if not dedup:
@@ -66,10 +79,10 @@ def candles(
     return (
         trades.groupBy("symbol", "start")
         .agg(
-            F.min_by("price", F.struct("timestamp", "arrival")).alias("open"),
+            F.min_by("price", order_key()).alias("open"),
             F.max("price").alias("high"),
             F.min("price").alias("low"),
-            F.max_by("price", F.struct("timestamp", -F.col("arrival"))).alias("close"),
+            F.max_by("price", order_key(first=False)).alias("close"),
             F.sum("quantity").cast(PRICE).alias("volume"),
             F.count("*").alias("trades"),
         )
@@ -78,20 +91,14 @@ def candles(
     )
 
 
-def largest_window(ticks: DataFrame, size_ms: int = WINDOW_MS) -> int:
-    """Ticks in the fullest (symbol, window): a scan of two columns, counted map-side."""
-    counts = bucket_ticks(candle_ticks(ticks), size_ms).groupBy("symbol", "start").count()
-    return counts.agg(F.max("count")).first()[0] or 0
-
-
-def choose_layout(ticks: DataFrame, size_ms: int = WINDOW_MS, max_rows: int = 50_000_000) -> str:
-    """``colocated`` where every window provably fits a task, else ``spread``."""
-    return "colocated" if largest_window(ticks, size_ms) <= max_rows else "spread"
-
-
 def to_candle_schema(df: DataFrame) -> DataFrame:
-    """The candle columns by name, in order and typed; others are dropped, a missing one fails."""
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in CANDLE.fields])
+    """The candle columns by name, in order and typed; others are dropped, a missing one fails.
+
+    A value that its column cannot hold exactly raises instead of being rounded.
+    """
+    return df.select(
+        *[kept_exactly(F.col(f.name), df.schema[f.name].dataType, f.dataType).alias(f.name) for f in CANDLE.fields]
+    )
 
 
 def add_month(df: DataFrame) -> DataFrame:

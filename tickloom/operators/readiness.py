@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.functions.timing import bucket_start
@@ -38,17 +38,16 @@ def readiness_trigger(
     """Per symbol (and session): the first tick two windows past the minute of the first arrival.
 
     ``until`` is that tick's minute. Ticks shrink to one row per minute before anything else,
-    since within a minute only the earliest arrival matters; the window sees those rows.
+    since within a minute only the earliest arrival matters; the first minute of a key is then
+    joined back. Both steps combine map-side, so no task sees all minutes of a symbol.
     """
     minutes = (
         ticks.withColumn("minute", bucket_start(F.col("timestamp"), MINUTE_MS))
         .groupBy(*keys, "minute")
         .agg(F.min("arrival").alias("arrival"))
     )
-    by_arrival = Window.partitionBy(*keys).orderBy("arrival")
-    due = minutes.withColumn("first_minute", F.first("minute").over(by_arrival)).filter(
-        F.col("minute") >= F.col("first_minute") + F.lit(2 * size_ms)
-    )
+    begin = minutes.groupBy(*keys).agg(F.min_by("minute", "arrival").alias("first_minute"))
+    due = minutes.join(begin, list(keys)).filter(F.col("minute") >= F.col("first_minute") + F.lit(2 * size_ms))
     return due.groupBy(*keys, "first_minute").agg(
         F.min_by("minute", "arrival").alias("until"), F.min("arrival").alias("fired_at")
     )
@@ -83,5 +82,23 @@ def pending_symbols(
     requested: DataFrame, signals: DataFrame, *, timeout_s: int = READY_TIMEOUT_S
 ) -> DataFrame:
     """Requested symbols without a signal inside the timeout."""
-    ready = readiness_report(requested, signals, timeout_s=timeout_s).filter("ready")
-    return requested.select("symbol").join(ready.select("symbol"), "symbol", "left_anti")
+    return readiness_report(requested, signals, timeout_s=timeout_s).filter("not ready").select("symbol")
+
+
+def require_ready(report: DataFrame) -> DataFrame:
+    """The report, which fails as soon as it is read if a symbol is not ready.
+
+    The message lists the pending symbols in order and the slowest signal that came in time.
+    """
+    late = F.array_sort(F.collect_list(F.when(~F.col("ready"), F.col("symbol"))))
+    state = report.agg(late.alias("pending"), F.max("elapsed_ms").alias("slowest")).select(
+        F.when(
+            F.size("pending") > 0,
+            F.concat(
+                F.lit("not ready: "), F.array_join("pending", ", "),
+                F.lit("; slowest ready after ms: "), F.coalesce(F.col("slowest").cast("string"), F.lit("none")),
+            ),
+        ).alias("problem")
+    )
+    problem = state.scalar()
+    return report.filter(F.when(problem.isNull(), F.lit(True)).otherwise(F.raise_error(problem).cast("boolean")))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -34,23 +33,21 @@ def work_dir(spark: SparkSession, name: str) -> str:
         "spark.checkpoint.dir"
     )
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        shared = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def streaming_session(spark: SparkSession) -> SparkSession:
+def streaming_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
     """A sibling session for stateful queries, so the caller's settings stay as they are.
 
-    The number of state partitions is fixed when a query first starts. It follows the caller's
-    shuffle setting, or the number of cores where that setting was left at its default of 200.
+    The number of state partitions is fixed for the life of a checkpoint, from the first start on.
+    It is ``state_partitions``, or the caller's shuffle setting. State changes are checkpointed as
+    changelogs, so a small batch does not upload whole snapshots.
     """
     child = spark.newSession()
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if partitions == 200:
-        partitions = spark.sparkContext.defaultParallelism
+    partitions = state_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     child.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    child.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     child.conf.set("spark.sql.session.timeZone", "UTC")
     child.conf.set(
         "spark.sql.streaming.stateStore.providerClass",

@@ -76,10 +76,7 @@ def between(candles: DataFrame, from_ms: int, to_ms: int) -> DataFrame:
 def write_summary_by_symbol(candles: DataFrame) -> DataFrame:
     """Count and time range per symbol. The end follows from ``start``: writers disagree on
     whether ``end`` is inclusive."""
-    per_symbol = candles.groupBy("symbol").agg(
-        F.count("*").alias("count"), F.min("start").alias("_first"), F.max("start").alias("_last")
-    )
-    return per_symbol.select(
+    return _spans(candles).select(
         "symbol",
         "count",
         iso_utc(F.col("_first")).alias("start"),
@@ -87,17 +84,23 @@ def write_summary_by_symbol(candles: DataFrame) -> DataFrame:
     )
 
 
+def _spans(candles: DataFrame) -> DataFrame:
+    return candles.groupBy("symbol").agg(
+        F.count("*").alias("count"), F.min("start").alias("_first"), F.max("start").alias("_last")
+    )
+
+
 def write_summary(candles: DataFrame) -> DataFrame:
     """One row for a whole write: its symbols, count and time range.
 
-    Rows shrink to one per symbol first, so only the list of symbols meets in one place. ISO
-    strings of one length order like the times they show.
+    Rows shrink to one per symbol first, so only the list of symbols, which the row must show,
+    meets in one place.
     """
-    return write_summary_by_symbol(candles).agg(
+    return _spans(candles).agg(
         F.array_join(F.array_sort(F.collect_list("symbol")), ",").alias("symbols"),
         F.sum("count").alias("count"),
-        F.min("start").alias("start"),
-        F.max("end").alias("end"),
+        iso_utc(F.min("_first")).alias("start"),
+        iso_utc(F.max("_last") + F.lit(WINDOW_MS)).alias("end"),
     )
 
 
@@ -113,7 +116,8 @@ def stream_to_table(
     """Append closed candles to the shared table, one commit per micro-batch.
 
     At least once: a batch that failed between its append and its checkpoint is appended again.
-    On Delta the transaction options below make the repeat a no-op. For exactly-once files on
+    On Delta the transaction options below make the repeat a no-op; their id is the query's own,
+    which Spark keeps in the checkpoint, so another stream or a fresh checkpoint is never skipped. For exactly-once files on
     plain storage use ``stream_to_files`` with a folder of its own.
     """
 
@@ -123,7 +127,9 @@ def stream_to_table(
         try:
             if batch.isEmpty():
                 return
-            options = {"txnAppId": name, "txnVersion": str(batch_id)} if file_format == "delta" else {}
+            # the id of the stream, kept in its checkpoint: set by Spark on the batch's session
+            app = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+            options = {"txnAppId": app, "txnVersion": str(batch_id)} if file_format == "delta" else {}
             append_candles(batch, path, file_format=file_format, options=options)
         finally:
             batch.unpersist()

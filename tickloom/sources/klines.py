@@ -7,11 +7,10 @@ import zipfile
 from collections.abc import Iterator
 
 import pyarrow as pa
-import pyarrow.csv as pacsv
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tickloom.functions.decimals import exact_decimal, whole_number
+from tickloom.functions.decimals import exact_decimal, required, try_exact_decimal, whole_number
 from tickloom.schema import ARCHIVE_COLUMNS, CANDLE, CANDLE_COLUMNS, KLINE_POSITIONS, PRICE
 
 # The folder below ``klines`` names the symbol.
@@ -25,6 +24,22 @@ def _typed(text: Column, data_type) -> Column:
     return exact_decimal(text) if data_type == PRICE else whole_number(text)
 
 
+def _needed(text: Column, field) -> Column:
+    """A value that every kline has: a missing or inexact one raises."""
+    return required(_typed(text, field.dataType), field.name, field.dataType).alias(field.name)
+
+
+def _cells(line: Column) -> Column:
+    """The cells of a line of numbers or column names, which hold no commas of their own."""
+    return F.transform(F.split(F.rtrim(line, F.lit("\r")), ","), lambda c: F.trim(c, F.lit('" ')))
+
+
+def _cell(name: str) -> Column:
+    """The text of a candle column in a row with ``header`` and ``cells``, empty as NULL."""
+    place = F.array_position("header", ARCHIVE_COLUMNS[name])
+    return F.nullif(F.get("cells", (place - 1).cast("int")), F.lit(""))
+
+
 def klines_json(pages: DataFrame, payload: str = "payload") -> DataFrame:
     """Positional kline lists in JSON text to candles; ``pages`` also has ``symbol``.
 
@@ -34,66 +49,53 @@ def klines_json(pages: DataFrame, payload: str = "payload") -> DataFrame:
         "symbol",
         F.explode(F.from_json(payload, "array<array<string>>", {"mode": "FAILFAST"})).alias("k"),
     )
-    values = [
-        _typed(F.element_at("k", KLINE_POSITIONS[f.name] + 1), f.dataType).alias(f.name) for f in _VALUES
-    ]
+    values = [_needed(F.get("k", F.lit(KLINE_POSITIONS[f.name])), f) for f in _VALUES]
     return klines.select("symbol", *values)
 
 
 def klines_csv(spark: SparkSession, path: str, *, symbol_pattern: str = SYMBOL_IN_PATH) -> DataFrame:
-    """Archive CSV files to candles. Columns are found by header name, others are not parsed.
+    """Archive CSV files to candles. Each file's columns are found by its own header line, in any
+    order; others are not parsed. A file without the header of a kline archive raises."""
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("line"))
+    lines = lines.filter(F.length(F.trim("line")) > 0).withColumn("cells", _cells(F.col("line")))
+    # names stand in no other line; headers are one short row per file
+    is_header = F.size(F.array_intersect("cells", F.lit(list(ARCHIVE_COLUMNS.values())))) == len(ARCHIVE_COLUMNS)
+    headers = lines.filter(is_header).groupBy("path").agg(F.first("cells").alias("header"))
+    rows = lines.filter(~is_header).join(headers, "path", "left")
+    lacking = F.raise_error(F.concat(F.lit("no kline header in "), F.col("path"))).cast("array<string>")
+    rows = rows.withColumn("header", F.coalesce("header", lacking))
+    symbol = F.regexp_extract("path", symbol_pattern, 1)
+    return rows.select(symbol.alias("symbol"), *[_needed(_cell(f.name), f) for f in _VALUES])
 
-    Files whose headers differ fail the scan: with ``enforceSchema`` off, Spark compares each
-    header with the first one's.
-    """
-    raw = spark.read.option("header", True).option("enforceSchema", False).csv(path)
-    symbol = F.regexp_extract(F.col("_metadata.file_path"), symbol_pattern, 1)
-    values = [_typed(F.col(ARCHIVE_COLUMNS[f.name]), f.dataType).alias(f.name) for f in _VALUES]
-    return raw.select(symbol.alias("symbol"), *values)
-
-
-_ARCHIVE_ROW = pa.schema(
-    [
-        ("path", pa.string()),
-        ("error", pa.string()),
-        *[(f.name, pa.decimal128(18, 8) if f.dataType == PRICE else pa.int64()) for f in _VALUES],
-    ]
-)
-_ARCHIVE_DDL = "path string, error string, " + ", ".join(
-    f"`{f.name}` {f.dataType.simpleString()}" for f in _VALUES
-)
-
-
-def _first_entry(content: bytes) -> pa.Table:
-    """The first file in a zip, read as CSV with just the candle columns."""
-    options = pacsv.ConvertOptions(
-        include_columns=list(ARCHIVE_COLUMNS.values()),
-        column_types={ARCHIVE_COLUMNS[f.name]: _ARCHIVE_ROW.field(f.name).type for f in _VALUES},
-    )
-    with zipfile.ZipFile(io.BytesIO(content)) as archive, archive.open(archive.namelist()[0]) as entry:
-        return pacsv.read_csv(entry, convert_options=options)
+
+_LINES = "path string, number long, header string, line string, error string"
 
 
-def _read_archives(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _inflated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The lines of each archive's first entry, with its header line; nothing is parsed here."""
+    schema = pa.schema([(n, pa.int64() if n == "number" else pa.string()) for n in ("path", "number", "header", "line", "error")])
     for batch in batches:
         for path, content in zip(batch.column("path"), batch.column("content"), strict=True):
-            table, error = None, None
+            rows, number, header = [], 0, None
             try:
-                table = _first_entry(content.as_py())
+                with zipfile.ZipFile(io.BytesIO(content.as_py())) as archive, archive.open(archive.namelist()[0]) as entry:
+                    text = io.TextIOWrapper(entry, "utf-8")
+                    header = text.readline().rstrip("\r\n")
+                    # an archive without rows still shows up once, so that its outcome is known
+                    rows.append((path.as_py(), 0, header, None, None))
+                    for number, line in enumerate(text, 1):
+                        rows.append((path.as_py(), number, header, line.rstrip("\n"), None))
+                        if len(rows) >= _BATCH_ROWS:
+                            yield pa.RecordBatch.from_pylist([dict(zip(schema.names, r, strict=True)) for r in rows], schema)
+                            rows = []
             except Exception as failure:  # one bad archive must not stop the others
-                error = f"{type(failure).__name__}: {failure}"
-            rows = 0 if table is None else table.num_rows
-            # An archive without rows still shows up once, so that its outcome is known.
-            count = max(rows, 1)
-            columns = [pa.repeat(path, count), pa.array([error] * count, pa.string())]
-            for f in _VALUES:
-                target = _ARCHIVE_ROW.field(f.name).type
-                columns.append(table[ARCHIVE_COLUMNS[f.name]] if rows else pa.nulls(count, target))
-            yield from pa.table(columns, schema=_ARCHIVE_ROW).to_batches(_BATCH_ROWS)
-
-
-def archive_files(spark: SparkSession, path: str) -> DataFrame:
-    """Zipped archives as (path, content)."""
+                rows.append((path.as_py(), number + 1, header, None, f"{type(failure).__name__}: {failure}"))
+            if rows:
+                yield pa.RecordBatch.from_pylist([dict(zip(schema.names, r, strict=True)) for r in rows], schema)
+
+
+def archive_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Zipped archives as (path, content); Spark reads no content where only paths are selected."""
     return (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", "*.zip")
@@ -104,22 +106,41 @@ def archive_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_archives(files: DataFrame) -> DataFrame:
-    """Unzip and parse each archive: a row per kline, or one with ``error`` where that failed.
+    """Rows of each archive: ``path, kind, error`` and the candle columns but the symbol.
 
-    Works file by file on the executors. An archive holds one symbol and at most a month.
+    ``kind`` is ``file`` once per archive that could be opened, ``row`` per kline, and ``failed``
+    where the archive cannot be read or a row lacks a value or has one that does not fit; ``error``
+    then says which. Tasks only inflate archives, in chunks of lines; Spark parses them.
     """
-    return files.select("path", "content").mapInArrow(_read_archives, _ARCHIVE_DDL)
+    lines = files.select("path", "content").mapInArrow(_inflated, _LINES)
+    lines = lines.filter("error is not null or number = 0 or length(trim(line)) > 0")
+    lines = lines.withColumn("header", _cells(F.col("header"))).withColumn("cells", _cells(F.col("line")))
+    for f in _VALUES:
+        text = _cell(f.name)
+        lines = lines.withColumn(f.name, try_exact_decimal(text) if f.dataType == PRICE else text.try_cast(f.dataType))
+    bad = F.when(
+        F.col("line").isNotNull() & (F.greatest(*[F.col(f.name).isNull().cast("int") for f in _VALUES]) == 1),
+        F.concat(F.lit("unusable row "), F.col("number").cast("string")),
+    )
+    error = F.coalesce("error", bad)
+    kind = F.when(error.isNotNull(), "failed").when(F.col("number") == 0, "file").otherwise("row")
+    return lines.select("path", kind.alias("kind"), error.alias("error"), *[f.name for f in _VALUES])
 
 
 def archive_candles(scanned: DataFrame, *, symbol_pattern: str = SYMBOL_IN_PATH) -> DataFrame:
-    """The candles among the rows of ``read_archives``."""
-    symbol = F.regexp_extract("path", symbol_pattern, 1)
-    return scanned.filter(F.col("start").isNotNull()).withColumn("symbol", symbol).select(*CANDLE_COLUMNS)
+    """The candles of the archives without a failure among the rows of ``read_archives``.
+
+    An archive holds a symbol's month at most, so its rows can meet.
+    """
+    failed = F.max("error").over(Window.partitionBy("path"))
+    rows = scanned.withColumn("_failed", failed).filter("_failed is null and kind = 'row'")
+    return rows.withColumn("symbol", F.regexp_extract("path", symbol_pattern, 1)).select(*CANDLE_COLUMNS)
 
 
 def archive_outcomes(scanned: DataFrame) -> DataFrame:
-    """Rows and error per archive."""
-    return scanned.groupBy("path").agg(F.count("start").alias("rows"), F.max("error").alias("error"))
+    """Rows and error per archive; a failed one counts as no rows."""
+    found = scanned.groupBy("path").agg(F.count_if(F.col("kind") == "row").alias("rows"), F.min("error").alias("error"))
+    return found.withColumn("rows", F.when(F.col("error").isNull(), F.col("rows")).otherwise(F.lit(0).cast("long")))
 
 
 def klines_zip(files: DataFrame, *, symbol_pattern: str = SYMBOL_IN_PATH) -> DataFrame:

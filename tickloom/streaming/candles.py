@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.functions.decimals import from_units, to_units
+from tickloom.operators.candles import order_key
 from tickloom.schema import CANDLE_COLUMNS, WATERMARK_DELAY_MS, WINDOW_MS
 from tickloom.streaming.processors import FLAT_CANDLE, CandleProcessor, GapFillProcessor
 
@@ -55,10 +56,10 @@ def stream_candles(
     return (
         trades.groupBy("symbol", "window")
         .agg(
-            F.min_by("price", F.struct("timestamp", "arrival")).alias("open"),
+            F.min_by("price", order_key()).alias("open"),
             F.max("price").alias("high"),
             F.min("price").alias("low"),
-            F.max_by("price", F.struct("timestamp", -F.col("arrival"))).alias("close"),
+            F.max_by("price", order_key(first=False)).alias("close"),
             F.sum("quantity").cast("decimal(18,8)").alias("volume"),
             F.count("*").alias("trades"),
         )

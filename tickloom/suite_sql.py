@@ -216,10 +216,11 @@ ORACLE: dict[str, str] = {
     "catalog_mark_available": f"""{_CATALOG}
       SELECT symbol, CASE WHEN symbol IN (SELECT symbol FROM asked) THEN 'available' ELSE state END AS state FROM held""",
     "catalog_gated": f"""{_READINESS}, {_CATALOG.removeprefix("WITH ")}
-      SELECT symbol, CASE WHEN symbol IN (SELECT symbol FROM asked)
-                           AND (SELECT bool_and(ready) FROM report)
-                           AND (SELECT bool_and(o_totalprice >= 0) FROM orders)
-                          THEN 'available' ELSE state END AS state FROM held""",
+      SELECT symbol, gate, CASE WHEN symbol IN (SELECT symbol FROM asked)
+                                 AND (gate = 'done' OR (SELECT bool_and(ready) FROM report))
+                                 AND (SELECT bool_and(o_totalprice >= 0) FROM orders)
+                                THEN 'available' ELSE state END AS state
+      FROM held, (VALUES ('done'), ('held')) AS gates(gate)""",
     "stream_names": """SELECT upper(c_name) AS symbol, lower(c_name) || '@trade' AS stream,
       upper(split_part(lower(c_name) || '@trade', '@', 1)) AS routing_symbol, left(c_name, 8) AS short_id FROM customer""",
     "subscribe_messages": """SELECT p_partkey,
