@@ -8,7 +8,9 @@ by fragment and summed.
 
 A segment shared by very many documents makes no pairs among them all: each document is paired
 with the smallest one that has the segment, and only documents that this leaves in different
-components are paired further.
+components are paired further: these by what sets them apart from the smallest one. Near copies
+differ from it in few shingles, and two of them that do not both link with it are similar only if
+they share many of these differences, so few pairs of even a very large group come into question.
 """
 
 from __future__ import annotations
@@ -149,13 +151,92 @@ def _segment_rows(size: int, levels: _Levels, known=None):
     return run
 
 
-def _cell_counts(size: int):
-    """(cell, n): how many sets have a shingle in each of a fixed number of cells."""
+def _differences(size: int, num: int, den: int):
+    """(key, hub, n, x, m, d, apart, tokens): sizes of a set and its hub's set, the number of
+    shingles that only one of them has, whether they do not link, and, unless there are more than
+    the hub has itself, these shingles."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for half in steps(iter([whole]), "ta"):
+                for batch in steps(iter([half]), "tb"):
+                    rows = batch.num_rows
+                    sides = [_sets(Texts(batch[c]), size)[:2] for c in ("ta", "tb")]
+                    owner = np.concatenate([s[0] for s in sides])
+                    codes = np.concatenate([s[1] for s in sides])
+                    order = np.lexsort((codes, owner))
+                    owner, codes = owner[order], codes[order]
+                    alone = np.ones(len(owner), bool)
+                    same = (owner[1:] == owner[:-1]) & (codes[1:] == codes[:-1])
+                    alone[1:] &= ~same
+                    alone[:-1] &= ~same
+                    owner, codes = owner[alone], codes[alone]
+                    n, m = (np.bincount(s[0], minlength=rows) for s in sides)
+                    d = np.bincount(owner, minlength=rows)
+                    apart = den * (n + m - d) < num * (n + m + d)
+                    codes = codes[(d <= m)[owner]]
+                    offsets = np.concatenate([[0], np.cumsum(np.where(d <= m, d, 0))]).astype(np.int32)
+                    tokens = pa.ListArray.from_arrays(pa.array(offsets), pa.array(codes.view(np.int64)))
+                    yield pa.RecordBatch.from_arrays(
+                        [batch["key"], batch["hub"], batch["n"], batch["x"], pa.array(m), pa.array(d), pa.array(apart), tokens],
+                        ["key", "hub", "n", "x", "m", "d", "apart", "tokens"],
+                    )
+
+    return run
+
+
+def _rarest_differences(num: int, den: int, counts):
+    """(token, key, n, x, d, place, short, apart): the rarest differences from a hub.
+
+    With c = (den - num) / (den + num), sets A and B link if at most c (n_A + n_B) shingles are in
+    one of them only, so they share at least (d_A + d_B - c (n_A + n_B)) / 2 differences. If B does
+    not link with the hub, d_B > c (n_B + m), and if A does not, d_A > c (n_A + m); in any case d_B
+    is at least what n_B and m differ by. That leaves at least (d_A + c (m - n_A)) / 2 for a set
+    whose partner does not link with the hub (``short``), and (d_A - c (n_A + m)) / 2 for one that
+    itself does not, whatever its partner. Of two sets in different components one does not.
+    """
+    wide, gap = den + num, den - num
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, m, d, hub = (batch[c].to_numpy() for c in ("n", "m", "d", "hub"))
+            apart = batch["apart"].to_numpy(zero_copy_only=False)
+            lists = batch["tokens"]
+            sizes = lists.value_lengths().to_numpy()
+            codes = lists.flatten().to_numpy().view(_U)
+            owner = np.repeat(np.arange(batch.num_rows), sizes)
+            order = np.lexsort((codes, counts.value[codes >> _U(64 - _COUNT_BITS)], owner))
+            codes = codes[order]
+            place = np.arange(len(owner)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            few = d - np.maximum(1, -(-(d * wide + gap * (m - n)) // (2 * wide))) + 1
+            long = d - np.maximum(1, -(-(d * wide - gap * (n + m)) // (2 * wide))) + 1
+            short = place < few[owner]
+            taken = np.flatnonzero(short | (apart[owner] & (place < long[owner])))
+            own = owner[taken]
+            token = mix(codes[taken] ^ mix(hub[own].view(_U)))
+            rows = pa.array(own)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(token.view(np.int64)),
+                    *(batch[c].take(rows) for c in ("key", "n", "x", "d")),
+                    pa.array(place[taken]),
+                    pa.array(short[taken]),
+                    batch["apart"].take(rows),
+                ],
+                ["token", "key", "n", "x", "d", "place", "short", "apart"],
+            )
+
+    return run
+
+
+def _cell_counts(size: int | None = None):
+    """(cell, n): how many sets have a shingle in each of a fixed number of cells; sets of texts,
+    or without a size the given ``tokens``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << _COUNT_BITS, np.int64)
-        for batch in steps(batches):
-            codes = _sets(Texts(batch["text"]), size)[1]
+        for batch in steps(batches) if size else batches:
+            codes = _sets(Texts(batch["text"]), size)[1] if size else batch["tokens"].flatten().to_numpy().view(_U)
             total += np.bincount(codes >> _U(64 - _COUNT_BITS), minlength=len(total))
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen.astype(np.int32)), pa.array(total[seen])], ["cell", "n"])
@@ -163,8 +244,16 @@ def _cell_counts(size: int):
     return run
 
 
+def _counted(sets: DataFrame, size: int | None = None):
+    """The counts of all cells, a broadcast of fixed size."""
+    total = np.zeros(1 << _COUNT_BITS, np.int64)
+    cells = sets.mapInArrow(_cell_counts(size), "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    total[cells["cell"].to_numpy()] = cells["n"].to_numpy()
+    return sets.sparkSession.sparkContext.broadcast(total)
+
+
 def _rarest(size: int, num: int, den: int, counts):
-    """(token, key, n, x): the shingles of each set of which a similar set must have one.
+    """(token, key, n, x, place): the shingles of each set of which a similar set must have one.
 
     Shingles are taken in order of the count of their cell, then of their hash: one order for all
     sets, whatever the counts, so two sets that are similar meet in the first ones of both.
@@ -181,7 +270,8 @@ def _rarest(size: int, num: int, den: int, counts):
             taken = place < (n - -(-n * num // den) + 1)[owner]
             owner = pa.array(owner[taken])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(codes[taken].view(np.int64)), *(batch[c].take(owner) for c in ("key", "n", "x"))], ["token", "key", "n", "x"]
+                [pa.array(codes[taken].view(np.int64)), *(batch[c].take(owner) for c in ("key", "n", "x")), pa.array(place[taken])],
+                ["token", "key", "n", "x", "place"],
             )
 
     return run
@@ -307,26 +397,53 @@ def jaccard_components(
     )
     links = links.union(verify(second))
     labels = components(links)
-    # and those still under one segment with another component: with all that share one of their
-    # rarest shingles, as two sets with this similarity must
+    # and those still under one segment with another component by their differences from its hub
     split = labelled(held, labels, "key", "x")
     mixed = split.groupBy("segment").agg(F.min("x").alias("low"), F.max("x").alias("high")).filter("low < high").select("segment")
-    apart = split.join(mixed, "segment").select("key", "n", "x").distinct()
-    own = stored(apart.join(texts, "key"), "apart")
-    counts = np.zeros(1 << _COUNT_BITS, np.int64)
-    cells = own.select("text").mapInArrow(_cell_counts(size), "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
-    counts[cells["cell"].to_numpy()] = cells["n"].to_numpy()
-    tokens = own.mapInArrow(
-        _rarest(size, num, den, spark.sparkContext.broadcast(counts)), "token long, key long, n long, x long"
+    met = split.join(mixed, "segment").filter("key != hub").select("key", "hub", "n", "x").distinct()
+    ta = texts.select("key", F.col("text").alias("ta"))
+    tb = texts.select(F.col("key").alias("hub"), F.col("text").alias("tb"))
+    differ = stored(
+        met.join(ta, "key").join(tb, "hub").select("key", "hub", "n", "x", "ta", "tb").mapInArrow(
+            _differences(size, num, den), "key long, hub long, n long, x long, m long, d long, apart boolean, tokens array<long>"
+        ),
+        "differences",
+    )
+
+    def crossing(tokens: DataFrame) -> DataFrame:
+        """The tokens that sets of different components have."""
+        of = tokens.groupBy("token").agg(F.min("x").alias("low"), F.max("x").alias("high")).filter("low < high").select("token")
+        return stored(tokens.join(of, "token"), "tokens")
+
+    close = differ.filter("d <= m")
+    tokens = crossing(
+        close.mapInArrow(
+            _rarest_differences(num, den, _counted(close.select("tokens"))),
+            "token long, key long, n long, x long, d long, place long, short boolean, apart boolean",
+        )
+    )
+    left = tokens.filter("short").select("token", *(F.col(c).alias(f"{c}_a") for c in ("key", "n", "x", "d", "place")))
+    right = tokens.filter("apart").select("token", *(F.col(c).alias(f"{c}_b") for c in ("key", "n", "x", "d", "place")))
+    wide, gap = den + num, den - num
+    # at the first difference that both have, enough others must follow
+    enough = f"2 * {wide} * least(d_a - place_a, d_b - place_b) >= {wide} * (d_a + d_b) - {gap} * (n_a + n_b)"
+    third = left.join(right, "token").filter(f"key_a != key_b and x_a != x_b and {enough}").select(
+        F.greatest("key_a", "key_b").alias("a"), F.least("key_a", "key_b").alias("b"), F.expr("if(key_a > key_b, n_a, n_b)").alias("n")
+    )
+    # sets that have little in common with the hub, or may be similar to such: with all that share
+    # one of their rarest shingles, as two sets with this similarity must
+    distant = differ.filter(f"d + {gap} * (n + n * {den} / {num}) / {wide} + 1 >= m").select("key", "n", "x").distinct()
+    own = stored(distant.join(texts, "key"), "distant")
+    tokens = crossing(
+        own.mapInArrow(_rarest(size, num, den, _counted(own.select("text"), size)), "token long, key long, n long, x long, place long")
+    )
+    left = tokens.select("token", F.col("key").alias("a"), "n", F.col("x").alias("xa"), F.col("place").alias("pa"))
+    right = tokens.select("token", F.col("key").alias("b"), F.col("x").alias("xb"), F.col("n").alias("nb"), F.col("place").alias("pb"))
+    fourth = left.join(right, "token").filter(
+        f"a > b and xa != xb and {wide} * least(n - pa, nb - pb) >= {num} * (n + nb)"
     )
-    crossing = tokens.groupBy("token").agg(F.min("x").alias("low"), F.max("x").alias("high")).filter("low < high").select("token")
-    tokens = stored(tokens.join(crossing, "token"), "tokens")
-    left = tokens.select("token", F.col("key").alias("a"), "n", F.col("x").alias("xa"))
-    right = tokens.select("token", F.col("key").alias("b"), F.col("x").alias("xb"), F.col("n").alias("nb"))
     third = (
-        left.join(right, "token")
-        .filter((F.col("a") > F.col("b")) & (F.col("xa") != F.col("xb")) & (F.least("n", "nb") * den >= F.greatest("n", "nb") * num))
-        .select("a", "b", "n")
+        third.union(fourth.select("a", "b", "n"))
         .distinct()
         .join(first.select("a", "b"), ["a", "b"], "left_anti")
         .join(second.select("a", "b"), ["a", "b"], "left_anti")
