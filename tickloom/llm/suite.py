@@ -1,6 +1,19 @@
 """The queries of this subpackage and their SQL."""
 
-from tickloom.llm import bytespans, decontaminate, jaccard, language, licenses, pieces, quality, secrets, shards, substrings
+from tickloom.llm import (
+    bytespans,
+    decontaminate,
+    infill,
+    jaccard,
+    language,
+    licenses,
+    mixing,
+    pieces,
+    quality,
+    secrets,
+    shards,
+    substrings,
+)
 
 QUERIES = {
     "op1_license_scan": licenses.op1_license_scan,
@@ -13,6 +26,8 @@ QUERIES = {
     "op8_jaccard_join": jaccard.op8_jaccard_join,
     "op9_suffix_dedup": bytespans.op9_suffix_dedup,
     "op10_sentencepiece": pieces.op10_sentencepiece,
+    "op11_fill_in_middle": infill.op11_fill_in_middle,
+    "op13_mix_sources": mixing.op13_mix_sources,
 }
 
 ORACLE = {
@@ -22,4 +37,6 @@ ORACLE = {
     "op7_substring_dedup": substrings.SQL,
     "op8_jaccard_join": jaccard.SQL,
     "op9_suffix_dedup": bytespans.SQL,
+    "op11_fill_in_middle": infill.SQL,
+    "op13_mix_sources": mixing.SQL,
 }
