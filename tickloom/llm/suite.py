@@ -2,6 +2,7 @@
 
 from tickloom.llm import (
     bytespans,
+    collocations,
     decontaminate,
     infill,
     jaccard,
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_suffix_dedup": bytespans.op9_suffix_dedup,
     "op10_sentencepiece": pieces.op10_sentencepiece,
     "op11_fill_in_middle": infill.op11_fill_in_middle,
+    "op12_collocations": collocations.op12_collocations,
     "op13_mix_sources": mixing.op13_mix_sources,
 }
 
@@ -38,5 +40,6 @@ ORACLE = {
     "op8_jaccard_join": jaccard.SQL,
     "op9_suffix_dedup": bytespans.SQL,
     "op11_fill_in_middle": infill.SQL,
+    "op12_collocations": collocations.SQL,
     "op13_mix_sources": mixing.SQL,
 }
