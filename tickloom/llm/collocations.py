@@ -22,10 +22,10 @@ from tickloom.llm.store import numbered, stored
 from tickloom.llm.words import Texts, Words, mix, range_codes
 
 #: Words of a shard, and bytes of text gathered for one; a piece is never cut, however long.
-SHARD_WORDS = 1 << 21
-SHARD_BYTES = 1 << 23
+SHARD_WORDS = 1 << 19
+SHARD_BYTES = 1 << 21
 #: Texts waiting in a task, all languages together; beyond it the largest language is indexed.
-PENDING_BYTES = 1 << 25
+PENDING_BYTES = 12 << 20
 #: Text bytes per group of phrases that are summed together.
 GROUP_BYTES = 1 << 22
 #: Tasks that sum phrases, at most.
