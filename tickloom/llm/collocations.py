@@ -22,16 +22,16 @@ from tickloom.llm.store import numbered, stored
 from tickloom.llm.words import Texts, Words, mix, range_codes
 
 #: Words of a shard, and bytes of text gathered for one; a piece is never cut, however long.
-SHARD_WORDS = 1 << 19
-SHARD_BYTES = 1 << 21
+SHARD_WORDS = 1 << 18
+SHARD_BYTES = 1 << 20
 #: Texts waiting in a task, all languages together; beyond it the largest language is indexed.
-PENDING_BYTES = 12 << 20
+PENDING_BYTES = 6 << 20
 #: Text bytes per group of phrases that are summed together.
 GROUP_BYTES = 1 << 22
 #: Tasks that sum phrases, at most.
 MOST_TASKS = 20_000
 #: Rows of phrases that wait in a task before they are summed.
-PENDING_ROWS = 1 << 21
+PENDING_ROWS = 1 << 20
 #: Copies of single words for joins, so that the phrases around a hot word spread.
 SALTS = 8
 
@@ -154,6 +154,8 @@ def _indexed(longest: int, buckets: int):
                         yield _batch(rows)
                         rows = []
                 yield _batch(rows)
+            # workers live on after their task: what they no longer need goes back
+            pa.default_memory_pool().release_unused()
 
         for batch in batches:
             langs = batch["lang"].dictionary_encode()
@@ -172,6 +174,12 @@ def _indexed(longest: int, buckets: int):
     return run
 
 
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield batch.slice(i, 1).to_pylist()[0]
+
+
 def _unpacked(row: dict) -> pa.Table:
     body = np.frombuffer(pa.decompress(row["phrases"], row["n_bytes"], "zstd"), np.uint8)
     ends = np.flatnonzero(body == 0x0A)
@@ -198,19 +206,19 @@ def _summed(least: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, parts, rows = None, [], 0
-        for batch in batches:
-            for row in batch.to_pylist():
-                if (row["bucket"], row["lang"]) != key:
-                    if parts:
-                        yield from closed(key[1], parts)
-                    key, parts, rows = (row["bucket"], row["lang"]), [], 0
-                parts.append(_unpacked(row))
-                rows += row["n_phrases"]
-                if rows > PENDING_ROWS and len(parts) > 1:
-                    parts = [total(parts)]
-                    rows = min(parts[0].num_rows, PENDING_ROWS // 2)
+        for row in _rows(batches):
+            if (row["bucket"], row["lang"]) != key:
+                if parts:
+                    yield from closed(key[1], parts)
+                key, parts, rows = (row["bucket"], row["lang"]), [], 0
+            parts.append(_unpacked(row))
+            rows += row["n_phrases"]
+            if rows > PENDING_ROWS and len(parts) > 1:
+                parts = [total(parts)]
+                rows = min(parts[0].num_rows, PENDING_ROWS // 2)
         if parts:
             yield from closed(key[1], parts)
+        pa.default_memory_pool().release_unused()
 
     return run
 
