@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tickloom.llm.fmindex import BidirectionalIndex
 from tickloom.llm.store import numbered, stored
-from tickloom.llm.words import Texts, Words, mix, range_codes
+from tickloom.llm.words import Texts, Words, mix, range_codes, steps
 
 #: Words of a shard, and bytes of text gathered for one; a piece is never cut, however long.
 SHARD_WORDS = 1 << 18
@@ -157,7 +157,7 @@ def _indexed(longest: int, buckets: int):
             # workers live on after their task: what they no longer need goes back
             pa.default_memory_pool().release_unused()
 
-        for batch in batches:
+        for batch in steps(batches):
             langs = batch["lang"].dictionary_encode()
             names, place = langs.dictionary.to_pylist(), langs.indices.to_numpy()
             for i, lang in enumerate(names):
