@@ -236,7 +236,7 @@ def phrase_counts(docs: DataFrame, longest: int = 3, least: int = 10, lang_col:
     packed = rows.mapInArrow(_indexed(longest, buckets), _PACKED)
     # a task sums its buckets one after the other, so more of them per task take time, not memory
     tasks = min(buckets // 4 + 1, MOST_TASKS)
-    dealt = packed.repartition(tasks, "bucket").sortWithinPartitions("bucket", "lang")
+    dealt = packed.repartitionById(tasks, F.col("bucket") % tasks).sortWithinPartitions("bucket", "lang")
     found = dealt.mapInArrow(_summed(least), "lang string, phrase string, f long")
     k = F.when(F.col("phrase") == "", F.lit(0)).otherwise(F.size(F.split("phrase", " ")))
     return found.select("lang", "phrase", k.alias("k"), "f")
@@ -296,7 +296,8 @@ def collocations(
     found = scored.select("lang", (-F.col("c.score")).alias("by_score"), (-F.col("a")).alias("by_count"), "phrase", F.col("c.l").alias("l"), F.col("c.r").alias("r"))
     ranked = stored(numbered(stored(found, "scored"), ["lang", "by_score", "by_count", "phrase"]), "ranked")
     first = ranked.groupBy(F.col("lang").alias("_lang")).agg(F.min("row_number").alias("first"))
-    sizes = grams.filter("k = 0").select(F.col("lang").alias("_of"), F.col("f").alias("n"))
+    # one row per language, in a table of its own, so that Spark sees how small it is
+    sizes = stored(grams.filter("k = 0").select(F.col("lang").alias("_of"), F.col("f").alias("n")), "sizes")
     rank = (F.col("row_number") - F.col("first") + 1).alias("rank")
     return (
         ranked.join(first, F.col("lang") == F.col("_lang"))
