@@ -85,13 +85,11 @@ def pending_symbols(
     return readiness_report(requested, signals, timeout_s=timeout_s).filter("not ready").select("symbol")
 
 
-def require_ready(report: DataFrame) -> DataFrame:
-    """The report, which fails as soon as it is read if a symbol is not ready.
-
-    The message lists the pending symbols in order and the slowest signal that came in time.
-    """
+def readiness_problem(report: DataFrame) -> DataFrame:
+    """One row with ``problem``: the pending symbols in order and the slowest signal that came in
+    time, or null where every symbol is ready."""
     late = F.array_sort(F.collect_list(F.when(~F.col("ready"), F.col("symbol"))))
-    state = report.agg(late.alias("pending"), F.max("elapsed_ms").alias("slowest")).select(
+    return report.agg(late.alias("pending"), F.max("elapsed_ms").alias("slowest")).select(
         F.when(
             F.size("pending") > 0,
             F.concat(
@@ -100,5 +98,10 @@ def require_ready(report: DataFrame) -> DataFrame:
             ),
         ).alias("problem")
     )
-    problem = state.scalar()
+
+
+def require_ready(report: DataFrame) -> DataFrame:
+    """The report, which fails as soon as it is read if a symbol is not ready; the error is the
+    ``readiness_problem``."""
+    problem = readiness_problem(report).scalar()
     return report.filter(F.when(problem.isNull(), F.lit(True)).otherwise(F.raise_error(problem).cast("boolean")))

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import datetime as dt
+import time
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tickloom.functions.timing import iso_utc, month_key
 from tickloom.operators.candles import add_month, to_candle_schema
 from tickloom.schema import CANDLE_COLUMNS, PARTITION_COLUMNS, STORED_CANDLE, WINDOW_MS
+from tickloom.streaming.candles import candle_rows, late_rows
 
 # Fixed value: isolation level of a new Delta table.
 _DELTA_PROPERTIES = {"delta.isolationLevel": "SnapshotIsolation"}
@@ -19,9 +23,15 @@ def to_stored(candles: DataFrame) -> DataFrame:
     return add_month(to_candle_schema(candles)).select(*STORED_CANDLE.fieldNames())
 
 
-def append_candles(candles: DataFrame, path: str, *, file_format: str = "parquet", options: dict | None = None) -> None:
+def append_candles(
+    candles: DataFrame, path: str, *, file_format: str = "parquet", options: dict | None = None
+) -> dict | None:
     """Append to the table at ``path``; the first append lays it out. Zero rows write no data.
 
+    Returns the summary of the write as in ``write_summary``, with ``write_ms``, or None where no rows
+    were written. It is observed by the tasks that write, so it costs no second pass and counts a
+    repeated task once.
+
     The rebalance lets AQE merge small (symbol, month) shuffles into one task and split a hot one,
     so partitions get few files without a task per partition. Rows are sorted by ``start`` within
     a file, which keeps its row-group statistics useful.
@@ -31,8 +41,54 @@ def append_candles(candles: DataFrame, path: str, *, file_format: str = "parquet
         .hint("rebalance", *PARTITION_COLUMNS)
         .sortWithinPartitions(*PARTITION_COLUMNS, "start")
     )
+    seen = Observation()
+    rows = rows.observe(
+        seen,
+        F.count(F.lit(1)).alias("count"),
+        F.min("start").alias("first"),
+        F.max("start").alias("last"),
+        F.collect_set("symbol").alias("symbols"),
+    )
+    began = time.monotonic()
     writer = rows.write.format(file_format).mode("append").partitionBy(*PARTITION_COLUMNS)
     writer.options(**(options or {})).save(path)
+    found = seen.get
+    if not found["count"]:
+        return None
+    return {
+        "symbols": ",".join(sorted(found["symbols"])),
+        "count": found["count"],
+        "start": _iso(found["first"]),
+        "end": _iso(found["last"] + WINDOW_MS),
+        "write_ms": int((time.monotonic() - began) * 1000),
+    }
+
+
+def _iso(ms: int) -> str:
+    """One moment as ``iso_utc`` writes it."""
+    return (dt.datetime(1970, 1, 1, tzinfo=dt.UTC) + dt.timedelta(milliseconds=ms)).isoformat()
+
+
+SUMMARY = "batch_id bigint, symbols string, count bigint, start string, end string, write_ms bigint"
+
+
+def log_summary(spark: SparkSession, summary: dict | None, path: str, batch_id: int | None = None) -> None:
+    """Append a write's summary as one row to the table of summaries at ``path``; None adds none."""
+    if summary:
+        row = (batch_id, *(summary[c] for c in ("symbols", "count", "start", "end", "write_ms")))
+        spark.createDataFrame([row], SUMMARY).coalesce(1).write.mode("append").parquet(path)
+
+
+def read_summaries(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(SUMMARY).parquet(path)
+
+
+def summary_of(summaries: DataFrame) -> DataFrame:
+    """One row, as from ``write_summary``, for all writes logged together."""
+    symbols = F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.split("symbols", ",")))))
+    return summaries.agg(
+        F.array_join(symbols, ",").alias("symbols"), F.sum("count").alias("count"), F.min("start").alias("start"), F.max("end").alias("end")
+    )
 
 
 def create_candle_table(spark: SparkSession, name: str, *, file_format: str = "parquet") -> None:
@@ -112,9 +168,12 @@ def stream_to_table(
     file_format: str = "parquet",
     trigger: dict | None = None,
     name: str = "candles",
+    summaries: str | None = None,
 ) -> StreamingQuery:
     """Append closed candles to the shared table, one commit per micro-batch.
 
+    With ``summaries`` every commit adds a row to the table of write summaries there.
+
     At least once: a batch that failed between its append and its checkpoint is appended again.
     On Delta the transaction options below make the repeat a no-op; their id is the query's own,
     which Spark keeps in the checkpoint, so another stream or a fresh checkpoint is never skipped. For exactly-once files on
@@ -125,12 +184,7 @@ def stream_to_table(
         # Persisted for the emptiness test: without it the batch would be computed twice.
         batch = batch.persist()
         try:
-            if batch.isEmpty():
-                return
-            # the id of the stream, kept in its checkpoint: set by Spark on the batch's session
-            app = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-            options = {"txnAppId": app, "txnVersion": str(batch_id)} if file_format == "delta" else {}
-            append_candles(batch, path, file_format=file_format, options=options)
+            _append_batch(batch, batch_id, path, file_format, summaries)
         finally:
             batch.unpersist()
 
@@ -138,6 +192,50 @@ def stream_to_table(
     return writer.foreachBatch(append).trigger(**(trigger or {"processingTime": "1 second"})).start()
 
 
+def _append_batch(batch: DataFrame, batch_id: int, path: str, file_format: str, summaries: str | None) -> None:
+    if batch.isEmpty():
+        return
+    spark = batch.sparkSession
+    # the id of the stream, kept in its checkpoint: set by Spark on the batch's session
+    app = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+    options = {"txnAppId": app, "txnVersion": str(batch_id)} if file_format == "delta" else {}
+    summary = append_candles(batch, path, file_format=file_format, options=options)
+    if summaries:
+        log_summary(spark, summary, summaries, batch_id)
+
+
+def stream_to_tables(
+    tagged: DataFrame,
+    path: str,
+    late_path: str,
+    checkpoint: str,
+    *,
+    size_ms: int = WINDOW_MS,
+    file_format: str = "parquet",
+    trigger: dict | None = None,
+    name: str = "candles",
+    summaries: str | None = None,
+) -> StreamingQuery:
+    """``stream_to_table`` for ``stream_candles_and_late``: rejected ticks go to a table of their own.
+
+    Both come from one computation of the micro-batch. Rejected ticks carry ``batch_id``, so that a
+    repeated batch can be told from a repeated tick.
+    """
+
+    def append(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            _append_batch(candle_rows(batch, size_ms), batch_id, path, file_format, summaries)
+            late = late_rows(batch)
+            if not late.isEmpty():
+                late.withColumn("batch_id", F.lit(batch_id).cast("long")).write.format(file_format).mode("append").save(late_path)
+        finally:
+            batch.unpersist()
+
+    writer = tagged.writeStream.queryName(name).option("checkpointLocation", checkpoint)
+    return writer.foreachBatch(append).trigger(**(trigger or {"processingTime": "1 second"})).start()
+
+
 def stream_to_files(
     candles: DataFrame, path: str, checkpoint: str, *, trigger: dict | None = None, name: str = "candles"
 ) -> StreamingQuery:

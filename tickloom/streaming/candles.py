@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from tickloom.functions.decimals import from_units, to_units
 from tickloom.operators.candles import order_key
 from tickloom.schema import CANDLE_COLUMNS, WATERMARK_DELAY_MS, WINDOW_MS
-from tickloom.streaming.processors import FLAT_CANDLE, CandleProcessor, GapFillProcessor
+from tickloom.streaming.processors import FLAT_CANDLE, TAGGED, CandleProcessor, GapFillProcessor
 
 
 def with_event_time(records: DataFrame, delay_ms: int = WATERMARK_DELAY_MS) -> DataFrame:
@@ -91,20 +91,49 @@ def stream_candles_by_symbol(
     is left behind before the stateful step: with no watermarked column in its input, Spark drops
     no rows itself and the processor alone decides what is late.
     """
-    timed = with_event_time(records, delay_ms).select(
-        "symbol",
-        "timestamp",
-        "trade_id",
-        "arrival",
-        to_units(F.col("price")).alias("price"),
-        to_units(F.col("quantity")).alias("quantity"),
-    )
-    candles = timed.groupBy("symbol").transformWithStateInPandas(
+    candles = _ticks_by_symbol(records, delay_ms).transformWithStateInPandas(
         CandleProcessor(size_ms), FLAT_CANDLE, "Append", "EventTime"
     )
     return _from_units(candles, size_ms)
 
 
+def stream_candles_and_late(
+    records: DataFrame, *, size_ms: int = WINDOW_MS, delay_ms: int = WATERMARK_DELAY_MS
+) -> DataFrame:
+    """``stream_candles_by_symbol`` whose rejected ticks leave too, tagged, for ``stream_to_tables``.
+
+    ``candle_rows`` and ``late_rows`` take the two kinds apart.
+    """
+    return _ticks_by_symbol(records, delay_ms).transformWithStateInPandas(
+        CandleProcessor(size_ms, report_late=True), TAGGED, "Append", "EventTime"
+    )
+
+
+def candle_rows(tagged: DataFrame, size_ms: int = WINDOW_MS) -> DataFrame:
+    """The candles among tagged rows."""
+    return _from_units(tagged.filter("tag = 'candle'"), size_ms)
+
+
+def late_rows(tagged: DataFrame) -> DataFrame:
+    """The rejected ticks: where they stood, their window, and the first window still open then."""
+    return tagged.filter("tag = 'late'").select("symbol", "trade_id", "timestamp", "arrival", "start", "bound")
+
+
+def _ticks_by_symbol(records: DataFrame, delay_ms: int):
+    return (
+        with_event_time(records, delay_ms)
+        .select(
+            "symbol",
+            "timestamp",
+            "trade_id",
+            "arrival",
+            to_units(F.col("price")).alias("price"),
+            to_units(F.col("quantity")).alias("quantity"),
+        )
+        .groupBy("symbol")
+    )
+
+
 def _in_units(candles: DataFrame) -> DataFrame:
     prices = [to_units(F.col(c)).alias(c) for c in ("open", "high", "low", "close", "volume")]
     return candles.select("symbol", "start", *prices, "trades")

@@ -21,6 +21,7 @@ from tickloom.sinks.topic import tick_payload
 from tickloom.sources import adapters as A
 from tickloom.sources import feed, klines, same_day, topic
 from tickloom.streaming import candles as S
+from tickloom.streaming import live
 
 HOUR_MS = 3_600_000
 ARCHIVE_BASE = "archive"
@@ -537,3 +538,138 @@ def heartbeat_advances(spark, sf_dir):
     ticks = _ticks(spark, sf_dir)
     _, after = _two_runs(spark, sf_dir, A.topic_from_ticks(ticks), _closing_heartbeat(ticks, HOUR_MS))
     return candle_table.read_candles(spark, after).drop("month")
+
+
+# --- streams over many micro-batches
+
+#: Micro-batches of a replay: one file each.
+BATCHES = 8
+
+
+def _land_runs(df: DataFrame, place: str, folder: str) -> None:
+    """Each run of positions as a file of its own, in order."""
+    length = df.agg((F.max(place) + 1).alias("length")).first()["length"]
+    runs = df.withColumn("_run", F.floor(F.col(place) * BATCHES / F.lit(length)).cast("int"))
+    for i in range(BATCHES):
+        runs.filter(F.col("_run") == i).drop("_run").coalesce(1).write.parquet(f"{folder}/run-{i:03d}")
+
+
+def _replaying(spark) -> SparkSession:
+    """A session for many short micro-batches: state in no more parts than there are cores."""
+    return streaming_session(spark, min(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism))
+
+
+def _follow(spark, df: DataFrame, folder: str) -> DataFrame:
+    """A stream over landed runs, one per micro-batch."""
+    return _replaying(spark).readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/run-*")
+
+
+def _finish(stream: DataFrame, folder: str) -> None:
+    writer = stream.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/checkpoint")
+    writer.trigger(availableNow=True).start().awaitTermination()
+
+
+@query
+def stream_readiness(spark, sf_dir):
+    """``readiness_by_session`` live: ticks and resets share the order of arrival and the files."""
+    events = _events(spark, sf_dir)
+    is_reset = F.col("event_type") == "error"
+    marked = A.ticks_from_events(events, A.user_symbol()).select("symbol", "timestamp", "arrival")
+    marked = marked.join(events.select(F.col("event_id").alias("arrival"), is_reset.alias("reset")), "arrival")
+    folder = work_dir(spark, "readiness")
+    _land_runs(marked, "arrival", f"{folder}/in")
+    records = _follow(spark, marked, f"{folder}/in")
+    fired = live.stream_readiness(records.filter("not reset"), records.filter("reset"))
+    _finish(fired, folder)
+    return spark.read.schema(live.TRIGGERED).parquet(f"{folder}/out")
+
+
+@query
+def stream_subscriptions(spark, sf_dir):
+    """``subscription_audit`` live, and what the registry lists after each micro-batch."""
+    log = _subscription_log(spark, sf_dir)
+    folder = work_dir(spark, "registry")
+    _land_runs(log, "seq", f"{folder}/in")
+    _finish(live.stream_subscriptions(_follow(spark, log, f"{folder}/in")), folder)
+    audit = spark.read.schema(live.AUDITED).parquet(f"{folder}/out")
+    parts = [audit.select(F.lit(-1).alias("batch"), "seq", "action", "symbol", "is_noop")]
+    for i in range(BATCHES):
+        listed = live.list_subscriptions(spark, f"{folder}/checkpoint", i)
+        parts.append(listed.select(F.lit(i).alias("batch"), F.col("since").alias("seq"), F.lit("listed").alias("action"), "symbol", F.lit(False).alias("is_noop")))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+@query
+def stream_waiting(spark, sf_dir):
+    """``readiness_report`` live on the event clock; a last record without a symbol moves it past all deadlines."""
+    requested, signals = _readiness_inputs(spark, sf_dir)
+    asked = requested.select("symbol", F.col("started_ms").alias("at"), F.lit(True).alias("request"))
+    came = signals.select("symbol", F.col("ready_ms").alias("at"), F.lit(False).alias("request"))
+    both = asked.unionByName(came)
+    past = both.agg(F.lit(None).cast("string").alias("symbol"), (F.max("at") + READY_WITHIN_S * 1000 + 1).alias("at"), F.lit(False).alias("request"))
+    start = both.agg(F.min("at").alias("start")).first()["start"] or 0
+    records = both.unionByName(past).select(F.lit("all").alias("run"), "symbol", "at", "request", (F.col("at") - start).alias("place"))
+    folder = work_dir(spark, "waiting")
+    _land_runs(records, "place", f"{folder}/in")
+    _finish(live.stream_waiting(_follow(spark, records, f"{folder}/in"), timeout_s=READY_WITHIN_S, clock="event"), folder)
+    out = spark.read.schema(live.WAITED).parquet(f"{folder}/out")
+    return out.select("symbol", "started_ms", F.coalesce("elapsed_ms", F.lit(-1).cast("long")).alias("elapsed_ms"), "ready")
+
+
+@query
+def readiness_problem(spark, sf_dir):
+    """The error of a run that waits for all users."""
+    report = readiness.readiness_report(*_readiness_inputs(spark, sf_dir), timeout_s=READY_WITHIN_S)
+    return readiness.readiness_problem(report)
+
+
+def _reversed_runs(ticks: DataFrame) -> DataFrame:
+    """Every 1,000 events arrive in reverse, so that some come after their window was sealed."""
+    place = F.col("arrival")
+    return ticks.withColumn("arrival", place + 999 - 2 * F.pmod(place, F.lit(1_000)))
+
+
+def _tagged_run(spark, sf_dir) -> str:
+    """Ticks in eight micro-batches through the candles with their rejected ticks, in two tables."""
+    folder = work_dir(spark, "tagged")
+    ticks = _reversed_runs(_ticks(spark, sf_dir))
+    _land_runs(A.topic_from_ticks(ticks), "offset", f"{folder}/topic")
+    closing = _closing_heartbeat(ticks, HOUR_MS)
+    closing.coalesce(1).write.parquet(f"{folder}/topic/run-{BATCHES:03d}")
+    records = topic.parse_records(topic.file_topics(_replaying(spark), f"{folder}/topic/run-*", max_files_per_trigger=1))
+    running = candle_table.stream_to_tables(
+        S.stream_candles_and_late(records, size_ms=HOUR_MS), f"{folder}/out", f"{folder}/late", f"{folder}/checkpoint",
+        size_ms=HOUR_MS, trigger={"availableNow": True}, summaries=f"{folder}/summaries",
+    )
+    running.awaitTermination()
+    return folder
+
+
+@query
+def stream_late_ticks(spark, sf_dir):
+    """Ticks that a live run rejected, with the first window that was still open."""
+    return spark.read.parquet(f"{_tagged_run(spark, sf_dir)}/late")
+
+
+@query
+def stream_candles_beside_late(spark, sf_dir):
+    """The candles of the same run: none of the rejected ticks counts."""
+    return candle_table.read_candles(spark, f"{_tagged_run(spark, sf_dir)}/out").drop("month")
+
+
+@query
+def stream_write_summary(spark, sf_dir):
+    """``write_summary`` of a stream, from the rows its commits logged."""
+    folder = work_dir(spark, "summaries")
+    ticks = _ticks(spark, sf_dir)
+    _land_runs(A.topic_from_ticks(ticks), "offset", f"{folder}/topic")
+    _closing_heartbeat(ticks, WINDOW_MS).coalesce(1).write.parquet(f"{folder}/topic/run-{BATCHES:03d}")
+    records = topic.parse_records(topic.file_topics(_replaying(spark), f"{folder}/topic/run-*", max_files_per_trigger=1))
+    running = candle_table.stream_to_table(
+        S.stream_candles(records), f"{folder}/out", f"{folder}/checkpoint", trigger={"availableNow": True}, summaries=f"{folder}/summaries"
+    )
+    running.awaitTermination()
+    return candle_table.summary_of(candle_table.read_summaries(spark, f"{folder}/summaries"))

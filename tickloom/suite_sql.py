@@ -262,3 +262,47 @@ ORACLE: dict[str, str] = {
     "heartbeat_advances": f"""{_HOURS}, {_filled(HOUR_MS, _after_last_window(HOUR_MS))}
       SELECT {COLUMNS} FROM filled WHERE "end" > (SELECT max("timestamp") - {DELAY_MS} FROM ticks)""",
 }
+
+#: Micro-batches of a replay: runs of equal length in the order of arrival.
+_RUNS = 8
+
+
+def _run(place: str, source: str) -> str:
+    return f"{place} * {_RUNS} // (SELECT max({place}) + 1 FROM {source})"
+
+
+def _rejected(size: int) -> str:
+    """``judged``: each tick with the bound below which windows were sealed when its micro-batch began."""
+    return f"""reversed AS (SELECT * REPLACE (arrival + 999 - 2 * (arrival % 1000) AS arrival) FROM ticks),
+    placed AS (SELECT *, {_run("arrival", "reversed")} AS run, "timestamp" // {size} * {size} AS start FROM reversed),
+    marks AS (SELECT run, (max(max("timestamp")) OVER (ORDER BY run ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - {DELAY_MS})
+                // {size} * {size} AS stop FROM placed GROUP BY run),
+    firsts AS (SELECT symbol, run, min(start) AS first FROM placed GROUP BY ALL),
+    judged AS (
+      SELECT p.*, CASE WHEN (SELECT min(first) FROM firsts f WHERE f.symbol = p.symbol AND f.run < p.run) < stop THEN stop ELSE 0 END AS bound
+      FROM placed p JOIN marks USING (run))"""
+
+
+ORACLE |= {
+    "stream_readiness": ORACLE["readiness_by_session"],
+    "stream_subscriptions": f"""{_LOG}, placed AS (SELECT *, {_run("seq", "log")} AS run FROM log),
+      audit AS (SELECT *, (action = 'subscribe') = coalesce(lag(action) OVER (PARTITION BY symbol ORDER BY seq) = 'subscribe', false) AS is_noop
+        FROM placed),
+      runs AS (SELECT unnest(range({_RUNS})) AS batch),
+      listed AS (
+        SELECT batch, symbol, max(seq) FILTER (action = 'subscribe' AND NOT is_noop) AS seq, arg_max(action, seq) AS last
+        FROM runs JOIN audit ON run <= batch GROUP BY batch, symbol)
+      SELECT -1 AS batch, seq, action, symbol, is_noop FROM audit
+      UNION ALL SELECT batch, seq, 'listed', symbol, false FROM listed WHERE last = 'subscribe'""",
+    "stream_waiting": ORACLE["readiness_report"],
+    "readiness_problem": f"""{_READINESS}
+      SELECT CASE WHEN count(*) FILTER (NOT ready) > 0 THEN 'not ready: ' || string_agg(symbol, ', ' ORDER BY symbol) FILTER (NOT ready)
+             || '; slowest ready after ms: ' || coalesce(CAST(max(elapsed_ms) FILTER (ready) AS VARCHAR), 'none') END AS problem
+      FROM report""",
+    "stream_late_ticks": f"""WITH {_ticks()}, {_rejected(HOUR_MS)}
+      SELECT symbol, trade_id, "timestamp", arrival, start, bound, CAST(run AS BIGINT) AS batch_id FROM judged WHERE start < bound""",
+    "stream_candles_beside_late": f"""WITH {_ticks()}, {_rejected(HOUR_MS)},
+      taken AS (SELECT * EXCLUDE (start) FROM judged WHERE start >= bound),
+      {_candles(HOUR_MS, "taken")}, {_filled(HOUR_MS, _after_last_window(HOUR_MS))} SELECT {COLUMNS} FROM filled""",
+    "stream_write_summary": ORACLE["write_summary"],
+}
