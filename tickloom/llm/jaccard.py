@@ -136,7 +136,8 @@ def _summaries(size: int):
 
 
 def _segment_rows(size: int, levels: _Levels, known=None):
-    """(segment, key) rows; with a bitmap, only those whose segment may be known."""
+    """(segment, key) rows; with a bitmap, only those whose segment may be known, without one at most
+    two of a segment and step, those with the smallest keys, which tell as much about it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches):
@@ -145,8 +146,16 @@ def _segment_rows(size: int, levels: _Levels, known=None):
             if known is not None:
                 near = holds(known.value, segment >> _U(64 - BITS))
                 owner, segment = owner[near], segment[near]
-            keys = batch["key"].to_numpy()
-            yield pa.RecordBatch.from_arrays([pa.array(segment.view(np.int64)), pa.array(keys[owner])], ["segment", "key"])
+            key = batch["key"].to_numpy()[owner]
+            if known is None:
+                order = np.lexsort((key, segment))
+                segment, key = segment[order], key[order]
+                third = np.zeros(len(key), bool)
+                third[2:] = segment[2:] == segment[:-2]
+                segment, key = segment[~third], key[~third]
+            yield pa.RecordBatch.from_arrays([pa.array(segment.view(np.int64)), pa.array(key)], ["segment", "key"])
+        # workers live on after their task: what they no longer need goes back
+        pa.default_memory_pool().release_unused()
 
     return run
 
@@ -344,7 +353,8 @@ def jaccard_components(
     largest = members.agg(F.max("n")).first()[0] or 1
     levels = _Levels(num, den, largest)
     texts = base.select("key", "text")
-    rows = texts.mapInArrow(_segment_rows(size, levels), "segment long, key long")
+    # most segments are met once: combining them again before the shuffle would only take memory
+    rows = texts.mapInArrow(_segment_rows(size, levels), "segment long, key long").repartition("segment")
     shared = stored(
         rows.groupBy("segment").agg(F.min("key").alias("hub"), F.count("*").alias("many")).filter("many > 1").select("segment", "hub"),
         "segments",
