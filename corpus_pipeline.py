@@ -49,10 +49,25 @@ def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, every secret replaced by a mark; ``n_chars`` follows where the text changes."""
-    clean = secrets.redact(docs.withColumn("_before", F.col("text")), secrets.scan(docs, "doc_id", "text"))
-    changed = ~F.col("text").eqNullSafe(F.col("_before"))
-    return clean.withColumn("n_chars", F.when(changed, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    """All documents, every secret replaced by a mark; ``n_chars``, where there is one, follows.
+
+    Secrets depend on text and source alone, so rows that share both share their secrets: the join
+    needs no id, and ids may repeat or be null. Other columns pass through whatever their names.
+    """
+    rows = _packed(docs).withColumnRenamed("id", "others").withColumn("before", F.col("text"))
+    if "source" in docs.columns:
+        rows = rows.withColumn("source", F.col("others.source"))
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("text", "source") if c in rows.columns]
+    rows = rows.withColumn("id", F.sha2(F.concat_ws("\x00", *parts), 256))
+    clean = secrets.redact(rows, secrets.scan(rows, "id", "text"), "id")
+    changed = ~F.col("text").eqNullSafe(F.col("before"))
+    columns = []
+    for c in docs.columns:
+        held = F.col("text") if c == "text" else F.col(f"others.`{c}`")
+        if c == "n_chars":
+            held = F.when(changed, F.length("text")).otherwise(held).cast(docs.schema[c].dataType)
+        columns.append(held.alias(c))
+    return clean.select(*columns)
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
