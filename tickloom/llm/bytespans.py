@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.store import keyed
+from tickloom.llm.store import keyed, stored
 from tickloom.llm.suffixes import suffix_arrays
 from tickloom.llm.words import BYTE_CODE, Texts, covered, mix, prefix_sums, range_hashes, steps
 
@@ -288,8 +288,10 @@ def remove_repeated_bytes(docs: DataFrame, window: int = 100, gram: int = 36, id
         F.collect_list(F.expr("if(later, shiftleft(cast(pos as long), 32) + run, null)")).alias("marks"),
         F.collect_list(F.expr("if(later, null, struct(code, many, pos, run))")).alias("open"),
     )
-    joined = base.join(seen, "key", "left").select("key", "id", "text", "marks", "open")
-    contexts = joined.filter("size(open) > 0").select("key", "text", "open").mapInArrow(
+    # one row per document with repeats: from here on, contexts are places until their bytes are needed
+    seen = stored(seen, "classes")
+    opened = base.join(seen.filter("size(open) > 0").select(F.col("key").alias("of"), "open"), F.col("key") == F.col("of"))
+    contexts = opened.select("key", "text", "open").mapInArrow(
         _bytes_of(window), "code long, many int, key long, pos int, run int, bytes binary"
     )
     spread = F.pmod(F.xxhash64("key", "pos"), F.ceil(F.col("many") / _SPREAD).cast("long"))
@@ -297,14 +299,17 @@ def remove_repeated_bytes(docs: DataFrame, window: int = 100, gram: int = 36, id
     found = found.withColumn("first", F.expr("min(struct(key, pos)) over (partition by h, g)")).filter(
         "run > 0 or struct(key, pos) > first"
     )
-    more = found.groupBy("key").agg(
+    more = found.groupBy(F.col("key").alias("of")).agg(
         F.collect_list(F.shiftleft(F.col("pos").cast("long"), 32) + F.greatest("run", F.lit(1))).alias("more")
     )
-    all_marks = F.concat(F.coalesce("marks", F.array().cast("array<long>")), F.coalesce("more", F.array().cast("array<long>")))
+    more = stored(more, "repeats")
+    none = F.array().cast("array<long>")
+    marks = seen.select("key", "marks").join(more, F.col("key") == F.col("of"), "left").select(
+        F.col("key").alias("of"), F.concat(F.coalesce("marks", none), F.coalesce("more", none)).alias("marks")
+    )
     return (
-        joined.select("key", "id", "text", "marks")
-        .join(more, "key", "left")
-        .select("key", "id", "text", all_marks.alias("marks"))
+        base.join(marks, F.col("key") == F.col("of"), "left")
+        .select("key", "id", "text", F.coalesce("marks", none).alias("marks"))
         .mapInArrow(_without(window), "key long, id long, n_bytes long, n_removed long, n_spans long, kept binary")
     )
 
