@@ -16,7 +16,8 @@ from tickloom.schema import ARCHIVE_COLUMNS, CANDLE, CANDLE_COLUMNS, KLINE_POSIT
 # The folder below ``klines`` names the symbol.
 SYMBOL_IN_PATH = r"/klines/([^/]+)/"
 
-_BATCH_ROWS = 65_536
+#: Bytes of a chunk of lines of an archive.
+_CHUNK_BYTES = 1 << 20
 _VALUES = [f for f in CANDLE.fields if f.name != "symbol"]
 
 
@@ -34,10 +35,14 @@ def _cells(line: Column) -> Column:
     return F.transform(F.split(F.rtrim(line, F.lit("\r")), ","), lambda c: F.trim(c, F.lit('" ')))
 
 
+def _places(header: Column) -> Column:
+    """Where each candle column stands among the cells of a header, from 1; 0 where it lacks."""
+    return F.struct(*[F.array_position(header, ARCHIVE_COLUMNS[f.name]).cast("int").alias(f.name) for f in _VALUES])
+
+
 def _cell(name: str) -> Column:
-    """The text of a candle column in a row with ``header`` and ``cells``, empty as NULL."""
-    place = F.array_position("header", ARCHIVE_COLUMNS[name])
-    return F.nullif(F.get("cells", (place - 1).cast("int")), F.lit(""))
+    """The text of a candle column in a row with ``at`` (see ``_places``) and ``cells``, empty as NULL."""
+    return F.nullif(F.get("cells", F.col(f"at.{name}") - 1), F.lit(""))
 
 
 def klines_json(pages: DataFrame, payload: str = "payload") -> DataFrame:
@@ -55,43 +60,51 @@ def klines_json(pages: DataFrame, payload: str = "payload") -> DataFrame:
 
 def klines_csv(spark: SparkSession, path: str, *, symbol_pattern: str = SYMBOL_IN_PATH) -> DataFrame:
     """Archive CSV files to candles. Each file's columns are found by its own header line, in any
-    order; others are not parsed. A file without the header of a kline archive raises."""
-    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("line"))
-    lines = lines.filter(F.length(F.trim("line")) > 0).withColumn("cells", _cells(F.col("line")))
-    # names stand in no other line; headers are one short row per file
-    is_header = F.size(F.array_intersect("cells", F.lit(list(ARCHIVE_COLUMNS.values())))) == len(ARCHIVE_COLUMNS)
-    headers = lines.filter(is_header).groupBy("path").agg(F.first("cells").alias("header"))
-    rows = lines.filter(~is_header).join(headers, "path", "left")
+    order; others are not parsed. A file without the header of a kline archive raises, one without
+    any line gives no rows.
+
+    A file holds a symbol's month at most, so it is read whole: its header meets its lines in one
+    row, and nothing is joined or shuffled.
+    """
+    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.split("value", "\n").alias("lines"))
+    files = files.withColumn("lines", F.filter("lines", lambda x: F.length(F.trim(F.rtrim(x, F.lit("\r")))) > 0))
+    files = files.filter(F.size("lines") > 0).withColumn("at", _places(_cells(F.get("lines", F.lit(0)))))
     lacking = F.raise_error(F.concat(F.lit("no kline header in "), F.col("path"))).cast("array<string>")
-    rows = rows.withColumn("header", F.coalesce("header", lacking))
+    whole = F.least(*[F.col(f"at.{f.name}") for f in _VALUES]) > 0
+    lines = F.when(whole, F.slice("lines", F.lit(2), F.size("lines"))).otherwise(lacking)
+    rows = files.select("path", "at", F.explode(lines).alias("line")).withColumn("cells", _cells(F.col("line")))
     symbol = F.regexp_extract("path", symbol_pattern, 1)
     return rows.select(symbol.alias("symbol"), *[_needed(_cell(f.name), f) for f in _VALUES])
 
 
-_LINES = "path string, number long, header string, line string, error string"
+_CHUNKS = "path string, number long, header string, lines string, error string"
 
 
 def _inflated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The lines of each archive's first entry, with its header line; nothing is parsed here."""
-    schema = pa.schema([(n, pa.int64() if n == "number" else pa.string()) for n in ("path", "number", "header", "line", "error")])
+    """The first entry of each archive in chunks of whole lines; nothing is split or parsed here.
+
+    ``number`` is that of the first line of a chunk, or of the line after the last one read where an
+    archive fails. A row numbered 0 without lines stands for an archive that could be opened.
+    """
+    schema = pa.schema([(n, pa.int64() if n == "number" else pa.string()) for n in ("path", "number", "header", "lines", "error")])
     for batch in batches:
-        for path, content in zip(batch.column("path"), batch.column("content"), strict=True):
-            rows, number, header = [], 0, None
+        for path, content in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
+            number, header = 0, None
+
+            def row(lines=None, error=None):
+                return pa.RecordBatch.from_pylist([dict(zip(schema.names, (path, number, header, lines, error), strict=True))], schema)  # noqa: B023
+
             try:
                 with zipfile.ZipFile(io.BytesIO(content.as_py())) as archive, archive.open(archive.namelist()[0]) as entry:
-                    text = io.TextIOWrapper(entry, "utf-8")
-                    header = text.readline().rstrip("\r\n")
-                    # an archive without rows still shows up once, so that its outcome is known
-                    rows.append((path.as_py(), 0, header, None, None))
-                    for number, line in enumerate(text, 1):
-                        rows.append((path.as_py(), number, header, line.rstrip("\n"), None))
-                        if len(rows) >= _BATCH_ROWS:
-                            yield pa.RecordBatch.from_pylist([dict(zip(schema.names, r, strict=True)) for r in rows], schema)
-                            rows = []
+                    header = entry.readline().decode().rstrip("\r\n")
+                    yield row()
+                    number = 1
+                    while block := entry.read(_CHUNK_BYTES):
+                        block += entry.readline()  # to the end of a line
+                        yield row(lines=block.decode().removesuffix("\n"))
+                        number += block.count(b"\n")
             except Exception as failure:  # one bad archive must not stop the others
-                rows.append((path.as_py(), number + 1, header, None, f"{type(failure).__name__}: {failure}"))
-            if rows:
-                yield pa.RecordBatch.from_pylist([dict(zip(schema.names, r, strict=True)) for r in rows], schema)
+                yield row(error=f"{type(failure).__name__}: {failure}")
 
 
 def archive_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -112,9 +125,12 @@ def read_archives(files: DataFrame) -> DataFrame:
     where the archive cannot be read or a row lacks a value or has one that does not fit; ``error``
     then says which. Tasks only inflate archives, in chunks of lines; Spark parses them.
     """
-    lines = files.select("path", "content").mapInArrow(_inflated, _LINES)
-    lines = lines.filter("error is not null or number = 0 or length(trim(line)) > 0")
-    lines = lines.withColumn("header", _cells(F.col("header"))).withColumn("cells", _cells(F.col("line")))
+    chunks = files.select("path", "content").mapInArrow(_inflated, _CHUNKS)
+    chunks = chunks.withColumn("at", _places(_cells(F.col("header"))))
+    # a row without lines, that is the start or the failure of an archive, stays one row
+    lines = chunks.select("path", "number", "at", "error", F.posexplode_outer(F.split("lines", "\n")).alias("place", "line"))
+    lines = lines.withColumn("number", F.col("number") + F.coalesce("place", F.lit(0)))
+    lines = lines.filter("line is null or length(trim(line)) > 0").withColumn("cells", _cells(F.col("line")))
     for f in _VALUES:
         text = _cell(f.name)
         lines = lines.withColumn(f.name, try_exact_decimal(text) if f.dataType == PRICE else text.try_cast(f.dataType))
