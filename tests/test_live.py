@@ -191,3 +191,42 @@ def test_tagged_rows_come_apart(spark):
     tagged = spark.createDataFrame(rows, columns)
     assert [(r.end, int(r.open), r.trades) for r in candle_rows(tagged).collect()] == [(60_000, 1, 1)]
     assert [tuple(r) for r in late_rows(tagged).collect()] == [("X", 4, 5, 6, 0, 60_000)]
+
+
+def test_a_batch_that_failed_after_its_write_counts_once(spark, run_dir, monkeypatch):
+    feed = Replay(spark, run_dir, None).feed([tick(1000, 10, 1, 1)], [heartbeat(60501)], [tick(61000, 20, 1, 2)], [heartbeat(120501)])
+    log, calls = candle_table.log_summary, []
+
+    def fails_once(*args):
+        calls.append(args)
+        if len(calls) == 1:
+            raise OSError("lost before the checkpoint")
+        log(*args)
+
+    monkeypatch.setattr(candle_table, "log_summary", fails_once)
+
+    def run(named, out):
+        records = parse_records(file_topics(feed.spark, f"{run_dir}/topic/*", max_files_per_trigger=1))
+        running = candle_table.stream_to_table(
+            stream_candles_by_symbol(records), f"{run_dir}/{out}", f"{run_dir}/check-{out}", trigger={"availableNow": True}, summaries=f"{run_dir}/s-{out}", named=named
+        )
+        running.awaitTermination()
+
+    for named, out, starts in ((True, "named", [0, 60000]), (False, "plain", [0, 0, 60000])):
+        calls.clear()
+        with pytest.raises(StreamingQueryException):
+            run(named, out)
+        run(named, out)
+        found = candle_table.read_candles(spark, f"{run_dir}/{out}")
+        assert sorted(r.start for r in found.collect()) == starts and found.filter("month = 197001 and symbol = 'X'").count() == len(starts)
+
+
+def test_spans_come_from_footers(spark, run_dir):
+    records = [tick(1000, 10, 1, 1), tick(61_000, 10, 1, 2, "Y"), tick(200_000, 10, 1, 3, "Y"), tick(3_000_000_000, 10, 1, 4, "Y")]
+    made = candles(record_frame(spark, records))
+    candle_table.append_candles(made, f"{run_dir}/t")
+    spans = candle_table.candle_spans(spark, f"{run_dir}/t")
+    plan = spans._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [COUNT(*), MIN(start), MAX(start)]" in plan, plan
+    want = made.groupBy("symbol").agg(F.count("*"), F.min("start"), F.max("start")).collect()
+    assert sorted(map(tuple, spans.collect())) == sorted(map(tuple, want))

@@ -37,7 +37,9 @@ def run_backfill(
     read_archives(files).write.parquet(staging)
 
     staged = spark.read.parquet(staging)
-    append_candles(archive_candles(staged), table, file_format=file_format)
+    written = append_candles(archive_candles(staged), table, file_format=file_format)
+    if written:
+        print("wrote candles:", written)
     outcomes = archive_outcomes(staged).withColumn("path", F.regexp_extract("path", _BELOW_BASE, 1))
     by_file = plan.select("symbol", "interval", "date", F.col("_file").alias("path"))
     return backfill_file_report(by_file, outcomes)

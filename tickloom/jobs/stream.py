@@ -10,9 +10,14 @@ import argparse
 
 from tickloom.schema import WATERMARK_DELAY_MS, WINDOW_MS
 from tickloom.session import build_session, streaming_session
-from tickloom.sinks.candle_table import stream_to_table
+from tickloom.sinks.candle_table import stream_to_table, stream_to_tables
 from tickloom.sources.topic import kafka_topics, parse_records
-from tickloom.streaming.candles import stream_candles, stream_candles_by_symbol, stream_candles_filled
+from tickloom.streaming.candles import (
+    stream_candles,
+    stream_candles_and_late,
+    stream_candles_by_symbol,
+    stream_candles_filled,
+)
 
 PIPELINES = {
     "by-symbol": stream_candles_by_symbol,
@@ -32,17 +37,21 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--delay-ms", type=int, default=WATERMARK_DELAY_MS)
     parser.add_argument("--trigger", default="1 second", help="time between micro-batches")
     parser.add_argument("--max-offsets", type=int, default=5_000_000, help="bound on records per micro-batch")
+    parser.add_argument("--late-table", help="folder for rejected ticks; the pipeline is by-symbol then")
+    parser.add_argument("--summaries", help="folder for one row per write: symbols, count, range, duration")
     parser.add_argument("--state-partitions", type=int, help="fixed at the first start of a checkpoint")
     args = parser.parse_args(argv)
 
     spark = streaming_session(build_session("tick-stream"), args.state_partitions)
     topic = kafka_topics(spark, args.bootstrap_servers, max_offsets_per_trigger=args.max_offsets)
-    candles = PIPELINES[args.pipeline](
-        parse_records(topic), size_ms=args.window_ms, delay_ms=args.delay_ms
-    )
-    stream_to_table(
-        candles, args.table, args.checkpoint, file_format=args.format, trigger={"processingTime": args.trigger}
-    ).awaitTermination()
+    records, window = parse_records(topic), {"size_ms": args.window_ms, "delay_ms": args.delay_ms}
+    sink = {"file_format": args.format, "trigger": {"processingTime": args.trigger}, "summaries": args.summaries}
+    if args.late_table:
+        tagged = stream_candles_and_late(records, **window)
+        running = stream_to_tables(tagged, args.table, args.late_table, args.checkpoint, size_ms=args.window_ms, **sink)
+    else:
+        running = stream_to_table(PIPELINES[args.pipeline](records, **window), args.table, args.checkpoint, **sink)
+    running.awaitTermination()
 
 
 if __name__ == "__main__":

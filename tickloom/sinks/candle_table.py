@@ -7,6 +7,7 @@ import time
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tickloom.functions.timing import iso_utc, month_key
@@ -15,6 +16,8 @@ from tickloom.schema import CANDLE_COLUMNS, PARTITION_COLUMNS, STORED_CANDLE, WI
 from tickloom.streaming.candles import candle_rows, late_rows
 
 # Fixed value: isolation level of a new Delta table.
+#: Folder level of a table whose appends have names.
+COMMIT = "commit"
 _DELTA_PROPERTIES = {"delta.isolationLevel": "SnapshotIsolation"}
 
 
@@ -24,10 +27,14 @@ def to_stored(candles: DataFrame) -> DataFrame:
 
 
 def append_candles(
-    candles: DataFrame, path: str, *, file_format: str = "parquet", options: dict | None = None
+    candles: DataFrame, path: str, *, file_format: str = "parquet", options: dict | None = None, commit: str | None = None
 ) -> dict | None:
     """Append to the table at ``path``; the first append lays it out. Zero rows write no data.
 
+    With ``commit`` the rows go into a folder of that name, and an append repeated under the same name
+    replaces the first: on storage without transactions each row is there once. All appends to such
+    a table need a name; ``read_candles`` finds them.
+
     Returns the summary of the write as in ``write_summary``, with ``write_ms``, or None where no rows
     were written. It is observed by the tasks that write, so it costs no second pass and counts a
     repeated task once.
@@ -50,8 +57,8 @@ def append_candles(
         F.collect_set("symbol").alias("symbols"),
     )
     began = time.monotonic()
-    writer = rows.write.format(file_format).mode("append").partitionBy(*PARTITION_COLUMNS)
-    writer.options(**(options or {})).save(path)
+    writer = rows.write.format(file_format).mode("overwrite" if commit else "append").partitionBy(*PARTITION_COLUMNS)
+    writer.options(**(options or {})).save(f"{path}/{COMMIT}={commit}" if commit else path)
     found = seen.get
     if not found["count"]:
         return None
@@ -91,16 +98,18 @@ def summary_of(summaries: DataFrame) -> DataFrame:
     )
 
 
-def create_candle_table(spark: SparkSession, name: str, *, file_format: str = "parquet") -> None:
-    """Register the table in the catalog unless it is there; layout is set at creation only."""
+def create_candle_table(spark: SparkSession, name: str, *, file_format: str = "parquet", location: str | None = None) -> None:
+    """Register the table in the catalog unless it is there; layout is set at creation only. Its
+    files lie at ``location``, or in the warehouse."""
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in STORED_CANDLE.fields)
+    place = f" LOCATION '{location}'" if location else ""
     properties = ""
     if file_format == "delta":
         pairs = ", ".join(f"'{k}' = '{v}'" for k, v in _DELTA_PROPERTIES.items())
         properties = f" TBLPROPERTIES ({pairs})"
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {name} ({fields}) USING {file_format} "
-        f"PARTITIONED BY ({', '.join(PARTITION_COLUMNS)}){properties}"
+        f"PARTITIONED BY ({', '.join(PARTITION_COLUMNS)}){place}{properties}"
     )
 
 
@@ -116,8 +125,25 @@ def read_candles(spark: SparkSession, path: str, *, file_format: str = "parquet"
     name would otherwise turn into a number."""
     reader = spark.read.format(file_format)
     if file_format != "delta":
-        reader = reader.schema(STORED_CANDLE)
-    return reader.load(path)
+        # the level of named appends is there or not; with the schema given it is a column to drop
+        reader = reader.schema(T.StructType([*STORED_CANDLE.fields, T.StructField(COMMIT, T.StringType())]))
+    return reader.load(path).select(*STORED_CANDLE.fieldNames())
+
+
+def candle_spans(spark: SparkSession, path: str) -> DataFrame:
+    """``symbol, count, first, last`` of the stored Parquet table, from the footers of its files alone.
+
+    Count, smallest and largest ``start`` of a partition are pushed into the scan, which reads no
+    rows for them. The frame belongs to a session of its own with that switched on; store it to join
+    it with others.
+    """
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.useV1SourceList", "")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    table = own.read.schema(STORED_CANDLE).parquet(path)
+    # only an aggregate per whole partition is pushed
+    parts = table.groupBy(*PARTITION_COLUMNS).agg(F.count("*").alias("count"), F.min("start").alias("first"), F.max("start").alias("last"))
+    return parts.groupBy("symbol").agg(F.sum("count").alias("count"), F.min("first").alias("first"), F.max("last").alias("last"))
 
 
 def between(candles: DataFrame, from_ms: int, to_ms: int) -> DataFrame:
@@ -169,22 +195,25 @@ def stream_to_table(
     trigger: dict | None = None,
     name: str = "candles",
     summaries: str | None = None,
+    named: bool = False,
 ) -> StreamingQuery:
     """Append closed candles to the shared table, one commit per micro-batch.
 
-    With ``summaries`` every commit adds a row to the table of write summaries there.
+    With ``summaries`` every commit adds a row to the table of write summaries there. With ``named``
+    every micro-batch is an append named by stream and batch, which a repeated one replaces.
 
     At least once: a batch that failed between its append and its checkpoint is appended again.
     On Delta the transaction options below make the repeat a no-op; their id is the query's own,
-    which Spark keeps in the checkpoint, so another stream or a fresh checkpoint is never skipped. For exactly-once files on
-    plain storage use ``stream_to_files`` with a folder of its own.
+    which Spark keeps in the checkpoint, so another stream or a fresh checkpoint is never skipped. On
+    plain storage ``named`` appends are exactly once and share the table with other writers' named
+    appends; ``stream_to_files`` is exactly once in a folder of its own.
     """
 
     def append(batch: DataFrame, batch_id: int) -> None:
         # Persisted for the emptiness test: without it the batch would be computed twice.
         batch = batch.persist()
         try:
-            _append_batch(batch, batch_id, path, file_format, summaries)
+            _append_batch(batch, batch_id, path, file_format, summaries, named)
         finally:
             batch.unpersist()
 
@@ -192,14 +221,15 @@ def stream_to_table(
     return writer.foreachBatch(append).trigger(**(trigger or {"processingTime": "1 second"})).start()
 
 
-def _append_batch(batch: DataFrame, batch_id: int, path: str, file_format: str, summaries: str | None) -> None:
+def _append_batch(batch: DataFrame, batch_id: int, path: str, file_format: str, summaries: str | None, named: bool) -> None:
     if batch.isEmpty():
         return
     spark = batch.sparkSession
     # the id of the stream, kept in its checkpoint: set by Spark on the batch's session
     app = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
     options = {"txnAppId": app, "txnVersion": str(batch_id)} if file_format == "delta" else {}
-    summary = append_candles(batch, path, file_format=file_format, options=options)
+    commit = f"{app}-{batch_id}" if named else None
+    summary = append_candles(batch, path, file_format=file_format, options=options, commit=commit)
     if summaries:
         log_summary(spark, summary, summaries, batch_id)
 
@@ -225,7 +255,7 @@ def stream_to_tables(
     def append(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
-            _append_batch(candle_rows(batch, size_ms), batch_id, path, file_format, summaries)
+            _append_batch(candle_rows(batch, size_ms), batch_id, path, file_format, summaries, False)
             late = late_rows(batch)
             if not late.isEmpty():
                 late.withColumn("batch_id", F.lit(batch_id).cast("long")).write.format(file_format).mode("append").save(late_path)

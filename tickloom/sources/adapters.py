@@ -105,12 +105,16 @@ def archive_rows(candles: DataFrame) -> DataFrame:
 
 def zipped_archives(candles: DataFrame, base: str) -> DataFrame:
     """One zipped CSV per symbol and UTC day, as (path, content); bounded by a day of candles."""
-    columns = [c for c in archive_rows(candles).columns if c != "symbol"]
+    return zipped_rows(archive_rows(candles), base)
+
+
+def zipped_rows(rows: DataFrame, base: str) -> DataFrame:
+    """``zipped_archives`` of rows under the archive's column names."""
+    columns = [c for c in rows.columns if c != "symbol"]
     line = F.concat_ws(",", *[F.col(c).cast("string") for c in columns])
     day = utc_date(F.col("open_time")).cast("string")
     texts = (
-        archive_rows(candles)
-        .groupBy("symbol", day.alias("date"))
+        rows.groupBy("symbol", day.alias("date"))
         .agg(F.array_join(F.array_sort(F.collect_list(line)), "\n").alias("body"))
     )
     header = ",".join(columns)

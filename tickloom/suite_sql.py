@@ -111,34 +111,40 @@ def _trigger(source: str, keys: str) -> str:
 
 _READINESS = f"""WITH {_ticks(USER)},
     requested AS (SELECT symbol, min("timestamp") AS started_ms FROM ticks GROUP BY symbol),
-    signals AS (SELECT symbol, min("timestamp") AS ready_ms FROM ticks WHERE event_type = 'purchase' GROUP BY symbol),
+    signals AS (
+      SELECT symbol, min("timestamp") AS ready_ms FROM ticks JOIN requested USING (symbol)
+      WHERE event_type <> 'error' AND "timestamp" > started_ms GROUP BY symbol),
     report AS (
       SELECT symbol, started_ms,
-             CASE WHEN ready_ms - started_ms <= 86400000 THEN ready_ms - started_ms ELSE -1 END AS elapsed_ms,
-             coalesce(ready_ms - started_ms <= 86400000, false) AS ready
+             CASE WHEN ready_ms - started_ms <= 54000000 THEN ready_ms - started_ms ELSE -1 END AS elapsed_ms,
+             coalesce(ready_ms - started_ms <= 54000000, false) AS ready
       FROM requested LEFT JOIN signals USING (symbol))"""
 
 _LOG = """WITH log AS (
       SELECT event_id AS seq, 'U' || user_id AS symbol,
-             CASE event_type WHEN 'signup' THEN 'subscribe' ELSE 'unsubscribe' END AS action
-      FROM events WHERE event_type IN ('signup', 'error'))"""
+             CASE WHEN event_type IN ('signup', 'purchase') THEN 'subscribe' ELSE 'unsubscribe' END AS action
+      FROM events)"""
 
 _CATALOG = """WITH held AS (
       SELECT 'C' || c_custkey AS symbol,
              CASE WHEN c_acctbal > 0 THEN 'available' ELSE 'unavailable' END AS state FROM customer),
     asked AS (
-      SELECT 'C' || o_custkey AS symbol FROM orders WHERE o_orderpriority = '1-URGENT'
+      SELECT 'C' || o_custkey AS symbol FROM orders
       UNION SELECT 'S' || s_suppkey FROM supplier)"""
 
 _PATH = "'archive/' || \"interval\" || '/klines/' || symbol || '/1m/' || symbol || '-1m-' || date || '.zip'"
 
-_JANUARY = f"""WITH {_ticks()}, {_candles(HOUR_MS)},
+_PLANNED = f"""WITH {_ticks()}, {_candles(HOUR_MS)},
+    days AS (SELECT symbol, CAST(make_timestamp("timestamp" * 1000) AS DATE) AS day FROM ticks),
+    ranges AS (SELECT symbol, min(day) - INTERVAL 2 DAY AS lo, max(day) AS hi FROM days GROUP BY symbol),
+    spread AS (SELECT symbol, CAST(unnest(range(lo, hi, INTERVAL 1 DAY)) AS DATE) AS day FROM ranges),
+    whole AS (SELECT *, count(*) OVER (PARTITION BY symbol, date_trunc('month', day)) = day(last_day(day)) AS whole FROM spread),
     plan AS (
-      SELECT symbol, 'daily' AS "interval", strftime(day, '%Y-%m-%d') AS date
-      FROM (SELECT DISTINCT symbol FROM ticks),
-           (SELECT unnest(range(DATE '2023-12-30', DATE '2024-01-31', INTERVAL 1 DAY)) AS day)),
+      SELECT DISTINCT symbol, CASE WHEN whole THEN 'monthly' ELSE 'daily' END AS "interval",
+             CASE WHEN whole THEN strftime(day, '%Y-%m') ELSE strftime(day, '%Y-%m-%d') END AS date FROM whole),
     landed AS (
-      SELECT symbol, strftime(make_timestamp(start * 1000), '%Y-%m-%d') AS date, count(*) AS n
+      SELECT symbol, strftime(make_timestamp(start * 1000), '%Y-%m-%d') AS date, count(*) AS n,
+             bool_or(hour(make_timestamp(start * 1000)) = 7) AS at_seven
       FROM candles GROUP BY ALL)"""
 
 _MS = "(epoch_us(o_orderdate) // 1000 + o_orderkey)"
@@ -159,14 +165,13 @@ ORACLE: dict[str, str] = {
     "klines_json_to_candles": f"{_HOURS} {KLINES}",
     "klines_csv_to_candles": f"{_HOURS} {KLINES}",
     "klines_zip_to_candles": f"{_HOURS} {KLINES}",
-    "backfill_file_report": f"""{_JANUARY}
-      SELECT symbol, "interval", date, {_PATH} AS path,
-             CASE WHEN n IS NULL THEN 'missing' WHEN symbol = 'ERROR' THEN 'failed' ELSE 'ok' END AS status,
-             CASE WHEN n IS NULL OR symbol = 'ERROR' THEN 0 ELSE n END AS rows
-      FROM plan LEFT JOIN landed USING (symbol, date)""",
-    "backfill_job_totals": f"""{_JANUARY}
-      SELECT symbol, CAST(sum(coalesce(n, 0)) AS BIGINT) AS candles, CAST(0 AS BIGINT) AS monthly_files,
-             count(*) AS daily_files, count(*) FILTER (n IS NULL) AS missing_files, CAST(0 AS BIGINT) AS failed_files
+    "backfill_file_report": f"""{_PLANNED}
+      SELECT symbol, "interval", date, {_PATH} AS path, status, CASE WHEN status = 'ok' THEN n ELSE 0 END AS rows
+      FROM (SELECT *, CASE WHEN n IS NULL THEN 'missing' WHEN symbol = 'ERROR' OR symbol = 'CLICK' AND at_seven THEN 'failed' ELSE 'ok' END AS status
+            FROM plan LEFT JOIN landed USING (symbol, date))""",
+    "backfill_job_totals": f"""{_PLANNED}
+      SELECT symbol, CAST(sum(coalesce(n, 0)) AS BIGINT) AS candles, count(*) FILTER ("interval" = 'monthly') AS monthly_files,
+             count(*) FILTER ("interval" = 'daily') AS daily_files, count(*) FILTER (n IS NULL) AS missing_files, CAST(0 AS BIGINT) AS failed_files
       FROM plan LEFT JOIN landed USING (symbol, date) GROUP BY symbol""",
     "same_day_candles": f"{_SAME_DAY} SELECT until, {COLUMNS} FROM paged",
     "same_day_pages": f"""{_SAME_DAY}
@@ -215,12 +220,13 @@ ORACLE: dict[str, str] = {
       FROM held FULL JOIN asked USING (symbol)""",
     "catalog_mark_available": f"""{_CATALOG}
       SELECT symbol, CASE WHEN symbol IN (SELECT symbol FROM asked) THEN 'available' ELSE state END AS state FROM held""",
-    "catalog_gated": f"""{_READINESS}, {_CATALOG.removeprefix("WITH ")}
-      SELECT symbol, gate, CASE WHEN symbol IN (SELECT symbol FROM asked)
-                                 AND (gate = 'done' OR (SELECT bool_and(ready) FROM report))
-                                 AND (SELECT bool_and(o_totalprice >= 0) FROM orders)
-                                THEN 'available' ELSE state END AS state
-      FROM held, (VALUES ('done'), ('held')) AS gates(gate)""",
+    "catalog_gated": f"""{_READINESS}, {_CATALOG.removeprefix("WITH ")},
+      facts AS (SELECT (SELECT bool_and(ready) FROM report) AS in_time, (SELECT count(ready_ms) = count(*) FROM requested LEFT JOIN signals USING (symbol)) AS ever,
+        (SELECT bool_and(o_totalprice > 0) FROM orders) AS ended, (SELECT bool_and(o_totalprice > 10000) FROM orders) AS strict),
+      gates AS (SELECT 'done' AS gate, ever AND ended AS open FROM facts
+        UNION ALL SELECT 'timeout', in_time AND ended FROM facts UNION ALL SELECT 'failed job', ever AND strict FROM facts)
+      SELECT symbol, gate, CASE WHEN open AND symbol IN (SELECT symbol FROM asked) THEN 'available' ELSE state END AS state
+      FROM held, gates""",
     "stream_names": """SELECT upper(c_name) AS symbol, lower(c_name) || '@trade' AS stream,
       upper(split_part(lower(c_name) || '@trade', '@', 1)) AS routing_symbol, left(c_name, 8) AS short_id FROM customer""",
     "subscribe_messages": """SELECT p_partkey,
@@ -243,6 +249,11 @@ ORACLE: dict[str, str] = {
     "date_functions": f"""SELECT o_orderkey, {_iso(_MS)} AS iso,
       strftime(make_timestamp({_MS} * 1000), '%Y-%m-%d') AS day, {_MS} // {DAY_MS} * {DAY_MS} AS midnight FROM orders""",
     "append_candles": f"{_MINUTES} SELECT {COLUMNS}, {MONTH} FROM candles",
+    "append_candles_named": f"{_MINUTES} SELECT {COLUMNS}, {MONTH} FROM candles",
+    "append_nothing": f"{_MINUTES} SELECT count(*) AS held, CAST(sum(trades) AS BIGINT) AS trades, false AS wrote FROM candles",
+    "candle_spans": f"""{_MINUTES}
+      SELECT symbol, count(*) AS count, min(start) AS first, max(start) AS last FROM candles GROUP BY symbol""",
+    "insert_into_created_table": f"{_HOURS} SELECT {COLUMNS}, {MONTH} FROM candles",
     "write_summary": f"""{_MINUTES}
       SELECT string_agg(DISTINCT symbol, ',' ORDER BY symbol) AS symbols, count(*) AS count,
              {_iso("min(start)")} AS start, {_iso(f"max(start) + {MINUTE_MS}")} AS "end" FROM candles""",
