@@ -33,6 +33,8 @@ _U = np.uint64
 _RATIO = 1.5
 #: Fragments whose overlaps are counted separately for a pair.
 _COUNTED = 16
+#: Rounds in which pairs meet with their texts.
+_ROUNDS = 3
 #: Cells in which shingles are counted for their rarity, as a power of two.
 _COUNT_BITS = 20
 
@@ -371,24 +373,39 @@ def jaccard_components(
 
     sizes = reps.filter("key = rep").select(F.col("key").alias("other"), F.col("n").alias("m"))
 
+    cell = F.shiftrightunsigned(F.xxhash64("key"), 64 - BITS)
+
+    def texts_of(keys: DataFrame) -> DataFrame:
+        """Texts of the keys in column ``key``; those of other documents, but for few, stay where they are."""
+        wanted = spark.sparkContext.broadcast(bitmap(keys.select(cell.alias("cell"))))
+        return texts.withColumn("cell", cell).mapInArrow(_held_keys(wanted), "key long, text string")
+
+    def with_texts(pairs: DataFrame, left: str, right: str, work, name: str) -> DataFrame:
+        """``work`` on ``pairs`` with both texts as ``ta`` and ``tb``, in rounds: the shuffles of a round,
+        in which texts move, are gone before the next one."""
+        parts = []
+        for i in range(_ROUNDS):
+            some = pairs.filter(F.pmod(F.xxhash64(right), F.lit(_ROUNDS)) == i)
+            held = texts_of(some.select(F.explode(F.array(left, right)).alias("key")))
+            ta = held.select(F.col("key").alias(left), F.col("text").alias("ta"))
+            tb = held.select(F.col("key").alias(right), F.col("text").alias("tb"))
+            parts.append(stored(work(some.join(ta, left).join(tb, right)), name))
+        out = parts[0]
+        for part in parts[1:]:
+            out = out.union(part)
+        return out
+
     def verify(pairs: DataFrame) -> DataFrame:
         """The links among pairs (a, b, n) of representatives; n is the size of a."""
         fit = pairs.join(sizes, pairs["b"] == sizes["other"]).filter(
             (F.least("n", "m") * den >= F.greatest("n", "m") * num)
         )
         fit = stored(fit.select("a", "b"), "fit")
-        # texts of other documents, but for few, are left out before the shuffle
-        cell = F.shiftrightunsigned(F.xxhash64("key"), 64 - BITS)
-        wanted = fit.select(F.explode(F.array("a", "b")).alias("key")).select(cell.alias("cell"))
-        some = texts.withColumn("cell", cell).mapInArrow(_held_keys(spark.sparkContext.broadcast(bitmap(wanted))), "key long, text string")
-        ta = some.select(F.col("key").alias("a"), F.col("text").alias("ta"))
-        tb = some.select(F.col("key").alias("b"), F.col("text").alias("tb"))
-        return stored(
-            fit.select("a", "b").join(ta, "a").join(tb, "b").select("a", "b", "ta", "tb").mapInArrow(
-                _verified(size, num, den), "a long, b long"
-            ),
-            "links",
-        )
+
+        def linked(rows: DataFrame) -> DataFrame:
+            return rows.select("a", "b", "ta", "tb").mapInArrow(_verified(size, num, den), "a long, b long")
+
+        return with_texts(fit, "a", "b", linked, "links")
 
     def labelled(frame: DataFrame, labels: DataFrame, column: str, out: str) -> DataFrame:
         own = labels.select(F.col("node").alias(column), F.col("label").alias("_label"))
@@ -410,15 +427,14 @@ def jaccard_components(
     # and those still under one segment with another component by their differences from its hub
     split = labelled(held, labels, "key", "x")
     mixed = split.groupBy("segment").agg(F.min("x").alias("low"), F.max("x").alias("high")).filter("low < high").select("segment")
-    met = split.join(mixed, "segment").filter("key != hub").select("key", "hub", "n", "x").distinct()
-    ta = texts.select("key", F.col("text").alias("ta"))
-    tb = texts.select(F.col("key").alias("hub"), F.col("text").alias("tb"))
-    differ = stored(
-        met.join(ta, "key").join(tb, "hub").select("key", "hub", "n", "x", "ta", "tb").mapInArrow(
+    met = stored(split.join(mixed, "segment").filter("key != hub").select("key", "hub", "n", "x").distinct(), "met")
+
+    def differing(rows: DataFrame) -> DataFrame:
+        return rows.select("key", "hub", "n", "x", "ta", "tb").mapInArrow(
             _differences(size, num, den), "key long, hub long, n long, x long, m long, d long, apart boolean, tokens array<long>"
-        ),
-        "differences",
-    )
+        )
+
+    differ = with_texts(met, "key", "hub", differing, "differences")
 
     def crossing(tokens: DataFrame) -> DataFrame:
         """The tokens that sets of different components have."""
@@ -443,7 +459,8 @@ def jaccard_components(
     # sets that have little in common with the hub, or may be similar to such: with all that share
     # one of their rarest shingles, as two sets with this similarity must
     distant = differ.filter(f"d + {gap} * (n + n * {den} / {num}) / {wide} + 1 >= m").select("key", "n", "x").distinct()
-    own = stored(distant.join(texts, "key"), "distant")
+    distant = stored(distant, "distant")
+    own = stored(distant.join(texts_of(distant), "key"), "distant_texts")
     tokens = crossing(
         own.mapInArrow(_rarest(size, num, den, _counted(own.select("text"), size)), "token long, key long, n long, x long, place long")
     )
