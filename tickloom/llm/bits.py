@@ -10,6 +10,14 @@ from pyspark.sql import functions as F
 BITS = 27
 
 
+def bits_for(n: int) -> int:
+    """Bits, as a power of two, of a bitmap for ``n`` hashes: eight or more each, 2**30 at most.
+
+    Beyond that, at 128 MB, more rows pass than need to; what is exact follows.
+    """
+    return min(max((8 * n).bit_length(), 10), 30)
+
+
 def bitmap(cells: DataFrame, bits: int = BITS) -> np.ndarray:
     """Bytes of a bitmap in which the bits numbered by column ``cell`` are set.
 

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.bits import BITS, bitmap, holds
+from tickloom.llm.bits import bitmap, bits_for, holds
 from tickloom.llm.graph import components
 from tickloom.llm.store import keyed, stored
 from tickloom.llm.words import GRAPHIC, Texts, Words, mix, steps
@@ -137,7 +137,7 @@ def _summaries(size: int):
     return run
 
 
-def _segment_rows(size: int, levels: _Levels, known=None):
+def _segment_rows(size: int, levels: _Levels, known=None, bits: int = 0):
     """(segment, key) rows; with a bitmap, only those whose segment may be known, without one at most
     two of a segment and step, those with the smallest keys, which tell as much about it."""
 
@@ -146,7 +146,7 @@ def _segment_rows(size: int, levels: _Levels, known=None):
             owner, codes, _ = _sets(Texts(batch["text"]), size)
             owner, segment = _segments(owner, codes, batch.num_rows, levels)
             if known is not None:
-                near = holds(known.value, segment >> _U(64 - BITS))
+                near = holds(known.value, segment >> _U(64 - bits))
                 owner, segment = owner[near], segment[near]
             key = batch["key"].to_numpy()[owner]
             if known is None:
@@ -361,24 +361,25 @@ def jaccard_components(
         rows.groupBy("segment").agg(F.min("key").alias("hub"), F.count("*").alias("many")).filter("many > 1").select("segment", "hub"),
         "segments",
     )
-    known = spark.sparkContext.broadcast(
-        bitmap(shared.select(F.shiftrightunsigned("segment", 64 - BITS).alias("cell")))
-    )
-    again = texts.mapInArrow(_segment_rows(size, levels, known), "segment long, key long")
+    bits = bits_for(shared.count())
+    known = spark.sparkContext.broadcast(bitmap(shared.select(F.shiftrightunsigned("segment", 64 - bits).alias("cell")), bits))
+    again = texts.mapInArrow(_segment_rows(size, levels, known, bits), "segment long, key long")
     reps = members.select("key", "rep", "n")
     hubs = members.select(F.col("key").alias("hub"), F.col("rep").alias("hub_rep"))
     # each representative under each shared segment, and the segment's smallest representative
     held = again.join(shared, "segment").join(reps.filter("key = rep").select("key", "n"), "key")
     held = stored(held.join(hubs, "hub").select("segment", "key", "n", F.col("hub_rep").alias("hub")), "meetings")
+    known.destroy()
 
     sizes = reps.filter("key = rep").select(F.col("key").alias("other"), F.col("n").alias("m"))
 
-    cell = F.shiftrightunsigned(F.xxhash64("key"), 64 - BITS)
-
-    def texts_of(keys: DataFrame) -> DataFrame:
-        """Texts of the keys in column ``key``; those of other documents, but for few, stay where they are."""
-        wanted = spark.sparkContext.broadcast(bitmap(keys.select(cell.alias("cell"))))
-        return texts.withColumn("cell", cell).mapInArrow(_held_keys(wanted), "key long, text string")
+    def texts_of(keys: DataFrame):
+        """Texts of the keys in column ``key``, those of other documents, but for few, left out, and the
+        broadcast to destroy after use. The keys are counted, so few of them make a small bitmap."""
+        bits = bits_for(keys.count())
+        cell = F.shiftrightunsigned(F.xxhash64("key"), 64 - bits)
+        wanted = spark.sparkContext.broadcast(bitmap(keys.select(cell.alias("cell")), bits))
+        return texts.withColumn("cell", cell).mapInArrow(_held_keys(wanted), "key long, text string"), wanted
 
     def with_texts(pairs: DataFrame, left: str, right: str, work, name: str) -> DataFrame:
         """``work`` on ``pairs`` with both texts as ``ta`` and ``tb``, in rounds: the shuffles of a round,
@@ -386,10 +387,11 @@ def jaccard_components(
         parts = []
         for i in range(_ROUNDS):
             some = pairs.filter(F.pmod(F.xxhash64(right), F.lit(_ROUNDS)) == i)
-            held = texts_of(some.select(F.explode(F.array(left, right)).alias("key")))
+            held, wanted = texts_of(some.select(F.explode(F.array(left, right)).alias("key")))
             ta = held.select(F.col("key").alias(left), F.col("text").alias("ta"))
             tb = held.select(F.col("key").alias(right), F.col("text").alias("tb"))
             parts.append(stored(work(some.join(ta, left).join(tb, right)), name))
+            wanted.destroy()
         out = parts[0]
         for part in parts[1:]:
             out = out.union(part)
@@ -460,7 +462,9 @@ def jaccard_components(
     # one of their rarest shingles, as two sets with this similarity must
     distant = differ.filter(f"d + {gap} * (n + n * {den} / {num}) / {wide} + 1 >= m").select("key", "n", "x").distinct()
     distant = stored(distant, "distant")
-    own = stored(distant.join(texts_of(distant), "key"), "distant_texts")
+    held, wanted = texts_of(distant)
+    own = stored(distant.join(held, "key"), "distant_texts")
+    wanted.destroy()
     tokens = crossing(
         own.mapInArrow(_rarest(size, num, den, _counted(own.select("text"), size)), "token long, key long, n long, x long, place long")
     )
