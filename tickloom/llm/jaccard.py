@@ -33,8 +33,6 @@ _U = np.uint64
 _RATIO = 1.5
 #: Fragments whose overlaps are counted separately for a pair.
 _COUNTED = 16
-#: Rounds in which pairs meet with their texts.
-_ROUNDS = 3
 #: Cells in which shingles are counted for their rarity, as a power of two.
 _COUNT_BITS = 20
 
@@ -331,9 +329,13 @@ def jaccard_components(
     similarity: tuple[int, int] = (8, 10),
     id_col: str = "doc_id",
     text_col: str = "text",
+    rounds: int = 1,
 ) -> DataFrame:
     """One row per document: ``key, id, n_shingles, component, component_id``.
 
+    Pairs meet with their texts in ``rounds`` parts: more read the texts more often and hold fewer
+    of them on disk at a time.
+
     Words are runs without white space after lower-casing A-Z; a set has the distinct shingles of
     ``size`` words, or the whole sequence where there are fewer. Documents link when the overlap
     is at least ``similarity`` (numerator, denominator) of the union. ``component`` is the
@@ -385,8 +387,8 @@ def jaccard_components(
         """``work`` on ``pairs`` with both texts as ``ta`` and ``tb``, in rounds: the shuffles of a round,
         in which texts move, are gone before the next one."""
         parts = []
-        for i in range(_ROUNDS):
-            some = pairs.filter(F.pmod(F.xxhash64(right), F.lit(_ROUNDS)) == i)
+        for i in range(rounds):
+            some = pairs.filter(F.pmod(F.xxhash64(right), F.lit(rounds)) == i)
             held, wanted = texts_of(some.select(F.explode(F.array(left, right)).alias("key")))
             ta = held.select(F.col("key").alias(left), F.col("text").alias("ta"))
             tb = held.select(F.col("key").alias(right), F.col("text").alias("tb"))
