@@ -36,7 +36,7 @@ def near_copies_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     if not repeated.isEmpty():
         order = rows.withColumn("h", F.xxhash64("text")).select("doc", "row", "h", "text")
         rows = stored(numbered(order, ["row", "h"]).drop("row").withColumnRenamed("row_number", "row"), "rows")
-    found = jaccard.jaccard_components(rows.select("row", "text"), 5, (8, 10), "row")
+    found = jaccard.jaccard_components(rows.select("row", "text"), 5, (8, 10), "row", rounds=3)
     first = found.filter("component = key").select("key")
     return rows.join(first, F.col("row") == F.col("key"), "left_semi").select("doc.*")
 
