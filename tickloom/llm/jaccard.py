@@ -37,6 +37,13 @@ _COUNTED = 16
 _COUNT_BITS = 20
 
 
+def _order(owner: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """Places in order of owner, then code; owners of a step are few, so the second sort is by digits."""
+    order = np.argsort(codes)
+    own = owner[order]
+    return order[np.argsort(own.astype(np.uint16) if len(own) and own.max() < 1 << 16 else own, kind="stable")]
+
+
 def _sets(texts: Texts, size: int) -> tuple[np.ndarray, np.ndarray, Words]:
     """(owner, hash) of the distinct shingles of each text, in order of both."""
     words = Words(texts, GRAPHIC, lower=True)
@@ -47,7 +54,7 @@ def _sets(texts: Texts, size: int) -> tuple[np.ndarray, np.ndarray, Words]:
         own = short[words.counts[short] == length]
         owner = np.concatenate([owner, own])
         codes = np.concatenate([codes, words.window_hashes(words.first[own], length)])
-    order = np.lexsort((codes, owner))
+    order = _order(owner, codes)
     owner, codes = owner[order], codes[order]
     new = np.ones(len(codes), bool)
     new[1:] = (owner[1:] != owner[:-1]) | (codes[1:] != codes[:-1])
@@ -137,7 +144,7 @@ def _summaries(size: int):
 
 def _segment_rows(size: int, levels: _Levels, known=None, bits: int = 0):
     """(segment, key) rows; with a bitmap, only those whose segment may be known, without one at most
-    two of a segment and step, those with the smallest keys, which tell as much about it."""
+    two of a segment and step, those with its smallest and largest key, which tell as much about it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches):
@@ -148,11 +155,14 @@ def _segment_rows(size: int, levels: _Levels, known=None, bits: int = 0):
                 owner, segment = owner[near], segment[near]
             key = batch["key"].to_numpy()[owner]
             if known is None:
-                order = np.lexsort((key, segment))
+                order = np.argsort(segment)
                 segment, key = segment[order], key[order]
-                third = np.zeros(len(key), bool)
-                third[2:] = segment[2:] == segment[:-2]
-                segment, key = segment[~third], key[~third]
+                begin = np.flatnonzero(np.append(True, segment[1:] != segment[:-1])[: len(segment)])
+                many = np.diff(np.append(begin, len(segment))) > 1
+                segment = segment[begin]
+                segment = np.concatenate([segment, segment[many]])
+                if len(begin):
+                    key = np.concatenate([np.minimum.reduceat(key, begin), np.maximum.reduceat(key, begin)[many]])
             yield pa.RecordBatch.from_arrays([pa.array(segment.view(np.int64)), pa.array(key)], ["segment", "key"])
         # workers live on after their task: what they no longer need goes back
         pa.default_memory_pool().release_unused()
@@ -173,7 +183,7 @@ def _differences(size: int, num: int, den: int):
                     sides = [_sets(Texts(batch[c]), size)[:2] for c in ("ta", "tb")]
                     owner = np.concatenate([s[0] for s in sides])
                     codes = np.concatenate([s[1] for s in sides])
-                    order = np.lexsort((codes, owner))
+                    order = _order(owner, codes)
                     owner, codes = owner[order], codes[order]
                     alone = np.ones(len(owner), bool)
                     same = (owner[1:] == owner[:-1]) & (codes[1:] == codes[:-1])
@@ -308,7 +318,7 @@ def _verified(size: int, num: int, den: int):
                     sides = [_sets(Texts(batch[c]), size)[:2] for c in ("ta", "tb")]
                     owner = np.concatenate([s[0] for s in sides])
                     codes = np.concatenate([s[1] for s in sides])
-                    order = np.lexsort((codes, owner))
+                    order = _order(owner, codes)
                     owner, codes = owner[order], codes[order]
                     both = np.flatnonzero((owner[1:] == owner[:-1]) & (codes[1:] == codes[:-1]))
                     fragment = (codes[both] >> _U(60)).astype(np.int64)
