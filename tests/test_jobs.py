@@ -2,14 +2,18 @@
 
 import os
 import zipfile
+from types import SimpleNamespace
 
+import pytest
 from conftest import record_frame, tick
 from pyspark.sql import functions as F
 
 from tickloom.jobs.backfill import run_backfill
 from tickloom.operators.candles import candles
+from tickloom.operators.late import flag_late
 from tickloom.sinks.candle_table import read_candles
 from tickloom.sources import adapters as A
+from tickloom.sources.topic import kafka_topics
 from tickloom.streaming.candles import stream_candles
 
 HEADER = "open_time,open,high,low,close,volume,close_time,count"
@@ -68,3 +72,44 @@ def test_colocated_layout_shuffles_once(spark):
     frame = record_frame(spark, [tick(1, 1, 1, 1)])
     assert physical(candles(frame, layout="colocated")).count("Exchange hashpartitioning") == 1
     assert physical(candles(frame)).count("Exchange hashpartitioning") == 2
+
+
+def test_late_flags_scan_their_source_twice(spark, run_dir):
+    ticks = [tick(1000 * i, 10, 1, i, symbol="AB"[i % 2]) for i in range(50)]
+    record_frame(spark, ticks).write.parquet(f"{run_dir}/records")
+    flagged = flag_late(spark.read.parquet(f"{run_dir}/records"), block=8)
+    assert flagged.count() == 50
+    flagged.collect()
+    plan = flagged._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("FileScan parquet") == 2 and "ReusedExchange" in plan
+
+
+class Reader:
+    """Takes the options of a stream reader."""
+
+    def __init__(self):
+        self.given = {}
+
+    def format(self, name):
+        return self
+
+    def option(self, name, value):
+        return self.options(**{name: value})
+
+    def options(self, **given):
+        self.given |= given
+        return self
+
+    def load(self):
+        return self.given
+
+
+def test_micro_batches_are_bounded_both_ways():
+    session = SimpleNamespace(readStream=Reader())
+    given = kafka_topics(session, "h:1", max_offsets_per_trigger=9, min_offsets_per_trigger=100, max_trigger_delay="50ms")
+    bounds = {k: given[k] for k in ("maxOffsetsPerTrigger", "minOffsetsPerTrigger", "maxTriggerDelay")}
+    assert bounds == {"maxOffsetsPerTrigger": 9, "minOffsetsPerTrigger": 100, "maxTriggerDelay": "50ms"}
+    plain = kafka_topics(SimpleNamespace(readStream=Reader()), "h:1")
+    assert not [name for name in plain if name.endswith("Trigger") or name == "maxTriggerDelay"]
+    with pytest.raises(ValueError, match="min_offsets"):
+        kafka_topics(SimpleNamespace(readStream=Reader()), "h:1", max_trigger_delay="50ms")

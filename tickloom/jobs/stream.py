@@ -37,13 +37,21 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--delay-ms", type=int, default=WATERMARK_DELAY_MS)
     parser.add_argument("--trigger", default="1 second", help="time between micro-batches")
     parser.add_argument("--max-offsets", type=int, default=5_000_000, help="bound on records per micro-batch")
+    parser.add_argument("--min-offsets", type=int, help="records that a micro-batch waits for")
+    parser.add_argument("--max-delay", help="longest wait for them, such as 50ms")
     parser.add_argument("--late-table", help="folder for rejected ticks; the pipeline is by-symbol then")
     parser.add_argument("--summaries", help="folder for one row per write: symbols, count, range, duration")
     parser.add_argument("--state-partitions", type=int, help="fixed at the first start of a checkpoint")
     args = parser.parse_args(argv)
 
     spark = streaming_session(build_session("tick-stream"), args.state_partitions)
-    topic = kafka_topics(spark, args.bootstrap_servers, max_offsets_per_trigger=args.max_offsets)
+    topic = kafka_topics(
+        spark,
+        args.bootstrap_servers,
+        max_offsets_per_trigger=args.max_offsets,
+        min_offsets_per_trigger=args.min_offsets,
+        max_trigger_delay=args.max_delay,
+    )
     records, window = parse_records(topic), {"size_ms": args.window_ms, "delay_ms": args.delay_ms}
     sink = {"file_format": args.format, "trigger": {"processingTime": args.trigger}, "summaries": args.summaries}
     if args.late_table:

@@ -40,10 +40,11 @@ def with_earlier(
     """Add a column per spec. ``order`` is a unique integer position.
 
     Rows are windowed per (block, keys). The totals of whole blocks, ``block`` times fewer, are
-    accumulated on their own and joined back. Give specs with fewer keys first: their shuffle by
-    block serves those that follow. Each further level puts the block totals through the same
-    step again; with one level and the default block, a trillion positions leave the last window
-    a million rows.
+    accumulated on their own and joined back. One aggregate makes the totals of all specs, so the
+    source is read twice, however many there are; their values have one type. Give specs with fewer
+    keys first: their shuffle by block serves those that follow. Each further level puts the block
+    totals through the same step again; with one level and the default block, a trillion positions
+    leave the last window a million rows.
     """
     rows = blocked = df.withColumn("_block", _block(F.col(order), block))
     for spec in specs:
@@ -53,9 +54,10 @@ def with_earlier(
             .rowsBetween(Window.unboundedPreceding, -1)
         )
         rows = rows.withColumn(spec.name, _COMBINE[spec.kind][0](spec.value).over(inside))
+    totals = _totals(blocked, specs)
     for i, spec in enumerate(specs):
         carry = f"_carry_{levels}_{i}"
-        carried = _carried(blocked, spec, carry, block, levels)
+        carried = _carried(totals.filter(F.col("_spec") == i), spec, carry, block, levels)
         rows = (
             rows.join(carried, ["_block", *spec.keys], "left")
             .withColumn(spec.name, _COMBINE[spec.kind][1](F.col(spec.name), F.col(carry)))
@@ -64,10 +66,26 @@ def with_earlier(
     return rows.drop("_block")
 
 
-def _carried(blocked: DataFrame, spec: Earlier, carry: str, block: int, levels: int) -> DataFrame:
+def _totals(blocked: DataFrame, specs: tuple[Earlier, ...]) -> DataFrame:
+    """``_spec, _total`` per block and all keys that any spec has: one row for each spec.
+
+    The rows of all specs come out of one generator with their keys, so every branch that takes
+    those of one spec reads the same aggregate and Spark makes it once; a column per spec would be
+    pruned apart, and a key outside would take the filters of its branch below the aggregate.
+    """
+    keys = list(dict.fromkeys(k for spec in specs for k in spec.keys))
+    made = [_COMBINE[spec.kind][0](spec.value).alias(f"_total_{i}") for i, spec in enumerate(specs)]
+    each = [
+        F.struct(F.lit(i).alias("_spec"), F.col("_block"), *keys, F.col(f"_total_{i}").alias("_total"))
+        for i in range(len(specs))
+    ]
+    return blocked.groupBy("_block", *keys).agg(*made).select(F.inline(F.array(*each)))
+
+
+def _carried(totals: DataFrame, spec: Earlier, carry: str, block: int, levels: int) -> DataFrame:
     """Per (block, keys): the total of all earlier blocks."""
     aggregate = _COMBINE[spec.kind][0]
-    totals = blocked.groupBy("_block", *spec.keys).agg(aggregate(spec.value).alias("_total"))
+    totals = totals.groupBy("_block", *spec.keys).agg(aggregate("_total").alias("_total"))
     if levels > 1:
         inner = Earlier(carry, spec.kind, "_total", spec.keys)
         positions = totals.withColumnRenamed("_block", "_position")

@@ -21,11 +21,15 @@ def kafka_topics(
     topics: tuple[str, ...] = (TICK_TOPIC, HEARTBEAT_TOPIC),
     group_id: str = "tickloom",
     max_offsets_per_trigger: int | None = None,
+    min_offsets_per_trigger: int | None = None,
+    max_trigger_delay: str | None = None,
 ) -> DataFrame:
     """One stream over both topics from the earliest offset.
 
     Offsets give the arrival order within a topic partition, so a topic with several partitions
     has to be keyed by symbol. ``max_offsets_per_trigger`` bounds a micro-batch after a backlog.
+    With ``min_offsets_per_trigger`` a micro-batch waits until so many records are there, but no
+    longer than ``max_trigger_delay``: fewer small batches on a quiet topic.
     """
     reader = (
         spark.readStream.format("kafka")
@@ -36,9 +40,14 @@ def kafka_topics(
         .option("kafka.fetch.max.wait.ms", FETCH_WAIT_MS)
         .option("kafka.fetch.min.bytes", 1)
     )
-    if max_offsets_per_trigger:
-        reader = reader.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
-    return reader.load()
+    if max_trigger_delay and not min_offsets_per_trigger:
+        raise ValueError("max_trigger_delay bounds the wait for min_offsets_per_trigger")
+    bounds = {
+        "maxOffsetsPerTrigger": max_offsets_per_trigger,
+        "minOffsetsPerTrigger": min_offsets_per_trigger,
+        "maxTriggerDelay": max_trigger_delay,
+    }
+    return reader.options(**{name: value for name, value in bounds.items() if value}).load()
 
 
 def file_topics(
