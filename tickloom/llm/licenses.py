@@ -1,9 +1,11 @@
 """License scans with a positional index of rare words.
 
-Templates are short word sequences with a mandatory key phrase. Postings hold each word's place in
-each template. The rarest word of a key phrase, by its count over all documents, is the one that
-is looked up; its place in a file less its place in the template is where the template would
-start, and the key phrase is then verified word by word. Built-in column functions only.
+Templates are short word sequences with a mandatory key phrase. The index holds postings: for a
+word, the templates and the places in them where it stands. A file looks up its own licence words
+of the highest IDF, those that are the rarest or next rarest of some key phrase; a posting and the
+word's place in the file give the place where the template would start. The places that both words
+agree on are kept, and there the whole key phrase is verified. Built-in column functions only; the
+plan does not grow with the templates.
 """
 
 from __future__ import annotations
@@ -30,8 +32,32 @@ TEMPLATES = [
     ("cc-by-nc", "licensed under cc by nc 4 0", "cc by nc"),
     ("cc-by-sa", "licensed under cc by sa 4 0", "cc by sa"),
     ("cc", "creative commons attribution 4 0 international license", "creative commons attribution"),
+    ("cc0", "creative commons zero v1 0 universal", "creative commons zero"),
+    ("cc-by", "licensed under cc by 4 0", "cc by 4 0"),
+    ("isc", "permission to use copy modify and or distribute this software for any purpose", "permission to use copy modify and or distribute"),
+    ("isc", "isc license", "isc license"),
+    ("zlib", "this software is provided as is without any express or implied warranty", "provided as is without any express or implied warranty"),
+    ("zlib", "zlib license", "zlib license"),
+    ("boost", "boost software license version 1 0", "boost software license"),
+    ("unlicense", "this is free and unencumbered software released into the public domain", "free and unencumbered software"),
+    ("epl", "eclipse public license v 2 0", "eclipse public license"),
+    ("eupl", "licensed under the european union public licence", "european union public licence"),
+    ("cddl", "common development and distribution license", "common development and distribution license"),
+    ("artistic", "the artistic license 2 0", "artistic license"),
+    ("ofl", "sil open font license version 1 1", "open font license"),
+    ("psf", "python software foundation license version 2", "python software foundation license"),
+    ("postgresql", "the postgresql license", "postgresql license"),
+    ("ms-pl", "microsoft public license", "microsoft public license"),
+    ("wtfpl", "do what the fuck you want to public license", "want to public license"),
+    ("gfdl", "gnu free documentation license", "free documentation license"),
+    ("sspl", "server side public license", "server side public license"),
+    ("busl", "business source license 1 1", "business source license"),
+    ("proprietary", "all rights reserved no part of this work may be reproduced", "all rights reserved"),
 ]
 _BASE = 3
+#: Added to places, so that a template that would start before the text stays with its number.
+_BIAS = 1 << 16
+_PLACE = (1 << 32) - 1
 
 
 def _split() -> list[tuple[str, list[str], int, list[str]]]:
@@ -57,9 +83,11 @@ def word_weights(docs: DataFrame, text_col: str = "text") -> dict[str, int]:
     """
     vocabulary = sorted({w for _, words, _, _ in _split() for w in words})
     words = docs.select(words_of(F.col(text_col)).alias("_words"))
-    found = words.select(F.explode(F.array_intersect("_words", F.lit(vocabulary))).alias("word")).groupBy("word").count()
+    # no word is empty, so the empty one counts the documents
+    present = F.concat(F.array_intersect("_words", F.lit(vocabulary)), F.array(F.lit("")))
+    found = words.select(F.explode(present).alias("word")).groupBy("word").count()
     counts = {r["word"]: r["count"] for r in found.collect()}
-    total = docs.count()
+    total = counts.get("", 0)
     return {w: round(1000 * _log2((total + 1) / (counts.get(w, 0) + 1))) + 1 for w in vocabulary}
 
 
@@ -69,57 +97,74 @@ def _log2(x: float) -> float:
     return log2(x)
 
 
+def postings(weights: dict[str, int], rank: int) -> dict[str, list[int]]:
+    """Per word: template and place, for the templates in whose key phrase it ranks so by weight.
+
+    Rank 0 is the rarest word, of equals the first. A posting is the number of the template times
+    2**32, less the word's place in the key phrase.
+    """
+    index: dict[str, list[int]] = {}
+    for number, (_, _, _, key) in enumerate(_split()):
+        place = sorted(range(len(key)), key=lambda k: (-weights[key[k]], k))[rank]
+        index.setdefault(key[place], []).append((number << 32) + _BIAS - place)
+    return index
+
+
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: ``id, n_words, matches``.
 
     ``matches`` has, in order of the templates, ``template``, ``label``, ``start`` and ``score``
     of every place where a template's key phrase stands: the place of its first word, counted from
     0, and the share of the template's weight found at the right relative places. Null and empty
-    texts match nothing. Rows are scanned each for itself, so nothing is shuffled but the counts.
+    texts match nothing; repeated rows and null ids are scanned each for itself; other columns are
+    not read, whatever their names; an empty table gives no rows. Texts of any length are scanned
+    whole, in time that grows with their words. Nothing is shuffled but the counts.
     """
     weights = word_weights(docs, text_col)
     rows = docs.select(F.col(id_col).alias("id"), words_of(F.col(text_col)).alias("_words"))
-    templates = _split()
-    # the rarest word of each key phrase, the first of equals, and its place in the phrase
-    anchors = [max(range(len(key)), key=lambda k: (weights[key[k]], -k)) for _, _, _, key in templates]
-    looked_up = sorted({t[3][a] for t, a in zip(templates, anchors, strict=True)})
+    index = [postings(weights, rank) for rank in (0, 1)]
+    looked_up = sorted({w for words in index for w in words})
     hits = F.filter(
         F.transform("_words", lambda w, i: F.when(w.isin(looked_up), F.struct(w.alias("w"), i.alias("p")))),
         lambda x: x.isNotNull(),
     )
-    rows = rows.withColumn("_hits", F.when(F.arrays_overlap("_words", F.lit(looked_up)), hits).otherwise(F.array().cast("array<struct<w:string,p:int>>")))
-    found = [
-        _places(number, label, words, at, key, anchor, weights)
-        for number, ((label, words, at, key), anchor) in enumerate(zip(templates, anchors, strict=True))
-    ]
-    empty = F.array().cast("array<struct<template:int,label:string,start:int,score:double>>")
-    matches = F.when(F.size("_hits") > 0, F.concat(*found)).otherwise(empty)
-    return rows.select("id", F.size("_words").cast("long").alias("n_words"), matches.alias("matches"))
+    none = F.array().cast("array<struct<w:string,p:int>>")
+    rows = rows.withColumn("_hits", F.when(F.arrays_overlap("_words", F.lit(looked_up)), hits).otherwise(none))
+    # where the postings of both words agree, by hashing: linear in the looked-up words of the file
+    agreed = F.array_intersect(*[_starts("_hits", words) for words in index])
+    rows = rows.withColumn("_agreed", F.when(F.size("_hits") > 1, agreed).otherwise(F.array().cast("array<bigint>")))
+    templates = F.array(*[
+        F.struct(
+            F.lit(label).alias("label"), F.lit(at).alias("at"), F.lit(key).alias("key"), F.lit(words).alias("words"),
+            F.lit([weights[w] for w in words]).alias("weights"), F.lit(sum(weights[w] for w in words)).alias("total"),
+        )
+        for label, words, at, key in _split()
+    ])
 
+    def opened(code):
+        template = F.shiftright(code, 32).cast("int")
+        start = (code.bitwiseAND(F.lit(_PLACE)) - F.lit(_BIAS)).cast("int")
+        return F.struct(template.alias("template"), start.alias("start"), F.get(templates, template).alias("of"))
 
-def _places(number, label, words, at, key, anchor, weights):
-    """The verified places of one template among the looked-up words, and their scores."""
-    starts = F.transform(F.filter("_hits", lambda x: x["w"] == key[anchor]), lambda x: x["p"] - anchor)
-    sure = F.filter(
-        starts,
-        lambda s: (s >= 0) & F.coalesce(_all(F.get("_words", s + k) == w for k, w in enumerate(key)), F.lit(False)),
-    )
-    total = sum(weights[w] for w in words)
+    def verified(m):
+        return (m["start"] >= 0) & (F.slice("_words", F.greatest(m["start"], F.lit(0)) + 1, F.size(m["of"]["key"])) == m["of"]["key"])
 
-    def match(s):
-        got = sum((F.when(F.get("_words", s - at + k) == w, weights[w]).otherwise(0) for k, w in enumerate(words)), F.lit(0))
-        return F.struct(
-            F.lit(number).alias("template"), F.lit(label).alias("label"), s.alias("start"), (got / F.lit(total)).alias("score")
-        )
+    def match(m):
+        first = m["start"] - m["of"]["at"]
+        there = F.zip_with(m["of"]["words"], F.sequence(F.lit(0), F.size(m["of"]["words"]) - 1), lambda w, k: F.get("_words", first + k).eqNullSafe(w))
+        got = F.aggregate(F.zip_with(there, m["of"]["weights"], lambda t, v: F.when(t, v).otherwise(0)), F.lit(0), lambda a, x: a + x)
+        return F.struct(m["template"].alias("template"), m["of"]["label"].alias("label"), m["start"].alias("start"), (got / m["of"]["total"]).alias("score"))
 
-    return F.transform(sure, match)
+    matches = F.transform(F.filter(F.transform(F.array_sort("_agreed"), opened), verified), match)
+    return rows.select("id", F.size("_words").cast("long").alias("n_words"), matches.alias("matches"))
 
 
-def _all(conditions):
-    out = None
-    for c in conditions:
-        out = c if out is None else out & c
-    return out
+def _starts(hits: str, index: dict[str, list[int]]):
+    """Template and start for each posting of each hit."""
+    words = list(index)
+    held = F.create_map(*[x for w in words for x in (F.lit(w), F.array(*[F.lit(code).cast("long") for code in index[w]]))])
+    own = F.filter(hits, lambda x: x["w"].isin(words))
+    return F.flatten(F.transform(own, lambda x: F.transform(F.element_at(held, x["w"]), lambda code: code + x["p"])))
 
 
 def op1_license_scan(spark, sf_dir: str) -> DataFrame:
