@@ -16,13 +16,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.bits import BITS, bitmap, holds
+from tickloom.llm.bits import bitmap, bits_for, holds
 from tickloom.llm.store import keyed
 from tickloom.llm.words import GRAPHIC, Texts, Words, covered, mix, steps, strings
 
 _U = np.uint64
-#: Rows of the sketch; each has 2**BITS cells, of which the executors see only whether they reach 2.
+#: Rows of the sketch; of their cells the executors see only whether they reach 2.
 DEPTH = 2
+#: Bytes of text for each anchor that cells are made for: about two anchors in prose.
+_BYTES = 60
 #: Windows and counts that a task gathers before it passes them on.
 _GATHERED = 2_000_000
 
@@ -191,7 +193,7 @@ def remove_repeats(
     shingle: int = 8,
     id_col: str = "doc_id",
     text_col: str = "text",
-    bits: int = BITS,
+    bits: int | None = None,
 ) -> DataFrame:
     """One row per document: ``key, id, n_words, n_removed, kept``.
 
@@ -201,12 +203,18 @@ def remove_repeats(
     input. Null and empty texts have no words. Where ids repeat or are null, rows are told apart
     by id, nulls first, and text (see ``keyed``); rows equal in both are one document.
 
-    The merged sketch is a bitmap of ``DEPTH * 2**bits`` bits, whatever the data; on more windows
-    than it can tell apart it lets more of them through to the exact grouping.
+    An empty table gives no rows; other columns are not read, whatever their names.
+
+    The merged sketch is a bitmap of ``DEPTH * 2**bits`` bits. Unless given, ``bits`` follows from
+    the bytes of all texts, so that a cell has an eighth to a quarter of an anchor at any size up to
+    8 GB, where the bitmap has its largest size, 256 MB. Beyond that it lets more windows through to
+    the exact grouping, all of them from some 100 GB on; the rows stay the same.
     """
     spark = docs.sparkSession
     base = keyed(docs, id_col, text_col)
     texts = base.select("key", "text")
+    if bits is None:
+        bits = bits_for((texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // _BYTES)
     counted = texts.select("text").mapInArrow(_partition_sketch(window, shingle, bits), "cell long, n int")
     reached = counted.groupBy("cell").agg(F.sum("n").alias("n")).filter("n > 1")
     merged = bitmap(reached, bits + DEPTH.bit_length() - 1).reshape(DEPTH, -1)
