@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tickloom.functions.decimals import exact_decimal, from_units, to_units
 from tickloom.functions.timing import bucket_start, iso_utc, month_key
 from tickloom.operators import catalog, readiness, subscriptions
-from tickloom.operators.blocks import Earlier, with_earlier, with_neighbour
+from tickloom.operators.blocks import Earlier, even_cuts, with_earlier, with_neighbour
 from tickloom.operators.candles import candles, to_candle_schema
 from tickloom.operators.gapfill import candles_as_streamed, candles_filled, fill_gaps
 from tickloom.operators.late import flag_late
@@ -526,3 +526,25 @@ def test_blocked_windows_match_plain_ones(spark, levels):
                 j = i + offset
                 expected[n] = ns[j] if 0 <= j < len(ns) else None
         assert {r.n: r.e for r in got.collect()} == expected
+
+
+@pytest.mark.parametrize("levels", [1, 2])
+def test_cuts_keep_blocks_even_where_positions_have_gaps(spark, levels):
+    rng = random.Random(5)
+    # half of the rows close together, the others far apart and beyond what a double tells apart
+    places = sorted(rng.sample(range(1000), 300) + [rng.randrange(1 << 40, 1 << 62) for _ in range(300)])
+    rows = [(n, rng.choice("AAB"), rng.randrange(100)) for n in places]
+    frame = spark.createDataFrame(rows, "n long, k string, v long").repartition(4)
+    cuts = even_cuts(frame, "n", rows=20)
+    sizes = [sum(a <= n < b for n in places) for a, b in zip([-1, *cuts], [*cuts, 1 << 63], strict=True)]
+    assert len(cuts) == 30 and max(sizes) <= 40
+    specs = Earlier("all", "max", "v"), Earlier("own", "sum", "v", ("k",))
+    got = with_earlier(frame, *specs, order="n", block=cuts, levels=levels).collect()
+    expected, top, sums = {}, None, {}
+    for n, k, v in rows:
+        expected[n] = (top, sums.get(k))
+        top, sums[k] = v if top is None else max(top, v), sums.get(k, 0) + v
+    assert {r.n: (r.all, r.own) for r in got} == expected
+    plain = with_neighbour(frame, "e", "n", order="n", keys=("k",), offset=1, block=1 << 30)
+    assert sorted(with_neighbour(frame, "e", "n", order="n", keys=("k",), offset=1, block=cuts).collect()) == sorted(plain.collect())
+    assert even_cuts(frame.limit(0), "n") == [] and with_earlier(frame, *specs, order="n", block=[]).count() == 600

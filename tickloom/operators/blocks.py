@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,14 +31,37 @@ class Earlier(NamedTuple):
     keys: tuple[str, ...] = ()
 
 
-def _block(order: Column, block: int) -> Column:
-    return order - F.pmod(order, F.lit(block).cast("long"))
+def even_cuts(df: DataFrame, order: str, *, rows: int = BLOCK, most: int = 10_000) -> list[float]:
+    """Positions that cut the order into blocks of about ``rows`` rows, ``most`` cuts at most.
+
+    For orders with gaps, such as ids made from a clock or a partition number before an offset:
+    blocks of a fixed width would hold a row or two of them. The quantiles take one pass over the
+    order column; the driver gets the cuts alone.
+    """
+    cuts = min(most, df.count() // rows)
+    if not cuts:
+        return []
+    shares = [i / (cuts + 1) for i in range(1, cuts + 1)]
+    return sorted(set(df.approxQuantile(order, shares, 1 / (4 * (cuts + 1)))))
+
+
+def _in_blocks(df: DataFrame, order: str, block: int | list[float]) -> DataFrame:
+    """``df`` with ``_block``, which never falls along the order: by width, or between cuts."""
+    if isinstance(block, int):
+        position = F.col(order)
+        return df.withColumn("_block", position - F.pmod(position, F.lit(block).cast("long")))
+    if not block:
+        return df.withColumn("_block", F.lit(0).cast("long"))
+    ends = [float("-inf"), *block, float("inf")]
+    cut = Bucketizer(splits=ends, inputCol=order, outputCol="_block").transform(df)
+    return cut.withColumn("_block", F.col("_block").cast("long"))
 
 
 def with_earlier(
-    df: DataFrame, *specs: Earlier, order: str, block: int = BLOCK, levels: int = 1
+    df: DataFrame, *specs: Earlier, order: str, block: int | list[float] = BLOCK, levels: int = 1
 ) -> DataFrame:
-    """Add a column per spec. ``order`` is a unique integer position.
+    """Add a column per spec. ``order`` is a unique integer position, ``block`` the width of a
+    block or the cuts between blocks (see ``even_cuts``).
 
     Rows are windowed per (block, keys). The totals of whole blocks, ``block`` times fewer, are
     accumulated on their own and joined back. One aggregate makes the totals of all specs, so the
@@ -46,7 +70,7 @@ def with_earlier(
     totals through the same step again; with one level and the default block, a trillion positions
     leave the last window a million rows.
     """
-    rows = blocked = df.withColumn("_block", _block(F.col(order), block))
+    rows = blocked = _in_blocks(df, order, block)
     for spec in specs:
         inside = (
             Window.partitionBy("_block", *spec.keys)
@@ -82,15 +106,16 @@ def _totals(blocked: DataFrame, specs: tuple[Earlier, ...]) -> DataFrame:
     return blocked.groupBy("_block", *keys).agg(*made).select(F.inline(F.array(*each)))
 
 
-def _carried(totals: DataFrame, spec: Earlier, carry: str, block: int, levels: int) -> DataFrame:
+def _carried(totals: DataFrame, spec: Earlier, carry: str, block: int | list[float], levels: int) -> DataFrame:
     """Per (block, keys): the total of all earlier blocks."""
     aggregate = _COMBINE[spec.kind][0]
     totals = totals.groupBy("_block", *spec.keys).agg(aggregate("_total").alias("_total"))
     if levels > 1:
         inner = Earlier(carry, spec.kind, "_total", spec.keys)
         positions = totals.withColumnRenamed("_block", "_position")
+        wider = block * block if isinstance(block, int) else BLOCK  # blocks between cuts are numbered
         carried = with_earlier(
-            positions, inner, order="_position", block=block * block, levels=levels - 1
+            positions, inner, order="_position", block=wider, levels=levels - 1
         ).withColumnRenamed("_position", "_block")
     else:
         before = (
@@ -108,7 +133,7 @@ def with_neighbour(
     order: str,
     keys: tuple[str, ...],
     offset: int,
-    block: int = BLOCK,
+    block: int | list[float] = BLOCK,
 ) -> DataFrame:
     """Add ``name``: ``value`` of the next (offset 1) or previous (-1) row of the same keys.
 
@@ -117,7 +142,7 @@ def with_neighbour(
     stay partitioned by block there.
     """
     neighbour = F.lead(value, offset) if offset > 0 else F.lag(value, -offset)
-    blocked = df.withColumn("_block", _block(F.col(order), block))
+    blocked = _in_blocks(df, order, block)
     inside = Window.partitionBy(*keys, "_block").orderBy(order)
     first = F.lag(F.lit(1), 1).over(inside).isNull()
     last = F.lead(F.lit(1), 1).over(inside).isNull()

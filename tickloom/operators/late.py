@@ -15,7 +15,7 @@ def flag_late(
     size_ms: int = WINDOW_MS,
     *,
     delay_ms: int = WATERMARK_DELAY_MS,
-    block: int = BLOCK,
+    block: int | list[float] = BLOCK,
 ) -> DataFrame:
     """Add ``watermark`` and ``is_late`` to each tick, judged at the moment it arrives.
 

@@ -12,7 +12,7 @@ from tickloom.schema import READY_TIMEOUT_S, WINDOW_MS
 MINUTE_MS = 60_000
 
 
-def with_session(ticks: DataFrame, resets: DataFrame, *, block: int = BLOCK) -> DataFrame:
+def with_session(ticks: DataFrame, resets: DataFrame, *, block: int | list[float] = BLOCK) -> DataFrame:
     """Add ``session``: how many resets of the symbol came before the tick.
 
     ``resets`` holds (symbol, arrival), one row per reconnect of the symbol's connection or per

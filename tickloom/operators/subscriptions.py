@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tickloom.operators.blocks import BLOCK, with_neighbour
 
 
-def subscription_audit(log: DataFrame, *, block: int = BLOCK) -> DataFrame:
+def subscription_audit(log: DataFrame, *, block: int | list[float] = BLOCK) -> DataFrame:
     """Flag requests that change nothing.
 
     ``log`` holds (seq, action, symbol). Subscribing a known symbol and unsubscribing an unknown
