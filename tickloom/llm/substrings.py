@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm.bits import bitmap, bits_for, holds
-from tickloom.llm.store import keyed
+from tickloom.llm.store import keyed, stored
 from tickloom.llm.words import GRAPHIC, Texts, Words, covered, mix, steps, strings
 
 _U = np.uint64
@@ -26,7 +26,7 @@ DEPTH = 2
 #: Bytes of text for each anchor that cells are made for: about two anchors in prose.
 _BYTES = 60
 #: Windows and counts that a task gathers before it passes them on.
-_GATHERED = 2_000_000
+_GATHERED = 1_000_000
 
 
 def _anchors(words: Words, window: int, shingle: int) -> tuple[np.ndarray, np.ndarray]:
@@ -216,7 +216,8 @@ def remove_repeats(
     if bits is None:
         bits = bits_for((texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // _BYTES)
     counted = texts.select("text").mapInArrow(_partition_sketch(window, shingle, bits), "cell long, n int")
-    reached = counted.groupBy("cell").agg(F.sum("n").alias("n")).filter("n > 1")
+    # stored, like the marks below, so that the shuffle files of the counts go before the next ones come
+    reached = stored(counted.groupBy("cell").agg(F.sum("n").alias("n")).filter("n > 1").select("cell"), "reached")
     merged = bitmap(reached, bits + DEPTH.bit_length() - 1).reshape(DEPTH, -1)
     sketch = spark.sparkContext.broadcast(merged)
     windows = texts.mapInArrow(
@@ -229,6 +230,7 @@ def remove_repeats(
     marks = later.groupBy("key").agg(
         F.collect_list(F.shiftleft(F.col("pos").cast("long"), 32) + F.greatest(F.col("run"), F.lit(1))).alias("marks")
     )
+    marks = stored(marks, "marks")
     return base.join(marks, "key", "left").select("key", "id", "text", "marks").mapInArrow(
         _without(window), "key long, id long, n_words long, n_removed long, kept string"
     )
