@@ -2,10 +2,12 @@
 
 from math import log2
 
+import numpy as np
 import pyarrow as pa
 import pytest
+from conftest import SF_DIR
 
-from tickloom.llm import language, licenses, substrings
+from tickloom.llm import language, licenses, quality, secrets, shards, substrings
 from tickloom.llm.words import Texts
 
 
@@ -88,3 +90,43 @@ def test_sketch_of_any_size_loses_no_window(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     found = [sorted(map(tuple, substrings.remove_repeats(docs, bits=b).select("id", "n_removed", "kept").collect())) for b in (6, 12, None)]
     assert found[0] == found[1] == found[2] and sum(r[1] for r in found[0]) > 0
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 40, 257, 5000])
+def test_permutation_is_one_to_one_and_fixed_by_its_seed(n):
+    numbers = np.arange(n)
+    places = shards.permute(numbers, n, 42)
+    assert sorted(places) == list(range(n))
+    # a number's place does not depend on which others are asked for
+    assert [int(shards.permute(numbers[i : i + 1], n, 42)[0]) for i in range(min(n, 50))] == list(places[:50])
+    assert (places == shards.permute(numbers, n, 42)).all()
+    if n > 100:
+        assert (places != shards.permute(numbers, n, 43)).mean() > 0.9
+        # over many seeds, the correlation of numbers and places spreads as that of random orders does
+        seen = [np.corrcoef(numbers, shards.permute(numbers, n, seed))[0, 1] for seed in range(200)]
+        assert 0.85 < np.std(seen) * (n - 1) ** 0.5 < 1.15 and abs(np.mean(seen)) * (n - 1) ** 0.5 < 0.25
+
+
+def test_ablations_by_brute_force(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    rows = quality.ledger(docs).select("failures")
+    failures = [r.failures for r in rows.collect()]
+    for policy in quality.POLICIES:
+        held = quality.mask(quality.POLICIES[policy])
+        own = [f & held for f in failures]
+        want = {
+            (policy, name, sum(f >> bit & 1 for f in own), sum(f == 1 << bit for f in own))
+            for bit, (name, _) in enumerate(quality.RULES)
+            if held >> bit & 1
+        }
+        got = {tuple(r) for r in quality.ablations(rows, policy).collect()}
+        assert got == want and any(failed for _, _, failed, _ in want)
+
+
+def test_hot_finding_leaves_the_sample_whole(spark):
+    """Copies of one finding count once, and the cut by hash counts takes the smallest hashes."""
+    texts = ['api_key = "9f8a7d6c5b4e3f2a1908b7c6d5e4f3a2"'] * 300 + [f"commit {i:020d} merged" for i in range(200)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = secrets.scan(docs, sample=50).collect()
+    assert len(found) == 500
+    assert all(r.secret for r in found if r.candidate.startswith("9f8a"))
