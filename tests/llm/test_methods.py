@@ -6,8 +6,9 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from conftest import SF_DIR
+from pyspark.sql import functions as F
 
-from tickloom.llm import language, licenses, quality, secrets, shards, substrings
+from tickloom.llm import jaccard, language, licenses, quality, secrets, shards, substrings
 from tickloom.llm.words import Texts
 
 
@@ -130,3 +131,34 @@ def test_hot_finding_leaves_the_sample_whole(spark):
     found = secrets.scan(docs, sample=50).collect()
     assert len(found) == 500
     assert all(r.secret for r in found if r.candidate.startswith("9f8a"))
+
+
+def test_parities_bound_the_difference():
+    rng = np.random.default_rng(3)
+    words = np.array([f"w{i}" for i in range(400)])
+    texts = [" ".join(rng.choice(words, n)) for n in (0, 1, 2, 3, 40, 300, 3000)]
+    texts += [t.replace("w7 ", "new ") for t in texts]
+    owner, codes, _ = jaccard._sets(Texts(pa.array(texts)), 3)
+    sets = [set(codes[owner == i].tolist()) for i in range(len(texts))]
+    marks = [sum((int(v) & (1 << 64) - 1) << 64 * i for i, v in enumerate(p)) for p in jaccard._parities(owner, codes, len(texts)).to_pylist()]
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets):
+            odd = (marks[i] ^ marks[j]).bit_count()
+            assert odd <= len(a ^ b) and (odd - len(a ^ b)) % 2 == 0
+            assert (odd == 0) == (a == b)
+
+
+def test_overlaps_are_sums_of_fragments(spark):
+    """A pair links by the sum of all its rows: with any one fragment's row gone, these pairs do not."""
+    base = [f"w{i}" for i in range(200)]
+    texts = {1: " ".join(base), 2: " ".join(base[:190]), 3: " ".join(base[:120])}
+    rows = [(a, b, texts[a], texts[b]) for a, b in ((1, 2), (1, 3), (2, 3))]
+    pairs = spark.createDataFrame(rows, "a long, b long, ta string, tb string")
+    partial = pairs.mapInArrow(jaccard._partial_overlaps(3), "a long, b long, fragment int, common long, total long").cache()
+    sums = {(r.a, r.b): (r.c, r.t) for r in partial.groupBy("a", "b").agg(F.sum("common").alias("c"), F.sum("total").alias("t")).collect()}
+    assert sums == {(1, 2): (188, 386), (1, 3): (118, 316), (2, 3): (118, 306)}
+    assert partial.count() == 48 and partial.select("a", "b", "fragment").distinct().count() == 48
+    assert [tuple(r) for r in jaccard.linked(partial, 188, 198).collect()] == [(1, 2)]
+    for gone in range(16):
+        fewer = partial.withColumn("common", F.when(F.col("fragment") == gone, 0).otherwise(F.col("common")))
+        assert jaccard.linked(fewer, 188, 198).isEmpty()

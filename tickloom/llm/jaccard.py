@@ -4,7 +4,11 @@ Shingles have one global order, that of their hashes. The order is cut into frag
 every document's set into segments. Two sets with a Jaccard similarity of t or more differ in few
 shingles, so with more fragments than that at least one segment is the same in both: documents
 meet only where a whole segment is equal. For each pair that meets, overlaps are counted fragment
-by fragment and summed.
+by fragment, one row each, and Spark sums the rows of a pair.
+
+Every set also has the parities of its sizes in 1,024 fine fragments. Where these differ, the sets
+differ in a shingle of that fragment, so the number of such fragments is at most the number of
+shingles that only one of them has: pairs with too many are no links, and their texts stay put.
 
 A segment shared by very many documents makes no pairs among them all: each document is paired
 with the smallest one that has the segment, and only documents that this leaves in different
@@ -20,7 +24,7 @@ from math import ceil, sqrt
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm.bits import bitmap, bits_for, holds
@@ -31,8 +35,10 @@ from tickloom.llm.words import GRAPHIC, Texts, Words, mix, steps
 _U = np.uint64
 #: Sizes of one level of fragments grow up to this factor.
 _RATIO = 1.5
-#: Fragments whose overlaps are counted separately for a pair.
-_COUNTED = 16
+#: Fragments whose overlaps are counted separately for a pair, as a power of two.
+_COUNTED_BITS = 4
+#: Fine fragments whose parities a set carries, as a power of two.
+_PARITY_BITS = 10
 #: Cells in which shingles are counted for their rarity, as a power of two.
 _COUNT_BITS = 20
 
@@ -128,6 +134,17 @@ def _totals(owner: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
     return sums[bounds[1:]] - sums[bounds[:-1]]
 
 
+def _parities(owner: np.ndarray, codes: np.ndarray, n: int) -> pa.Array:
+    """A list of longs for each set, whose bits tell which fragments hold an odd number of its shingles."""
+    at = (owner << _PARITY_BITS) + (codes >> _U(64 - _PARITY_BITS)).astype(np.int64)
+    starts = np.flatnonzero(np.append(True, at[1:] != at[:-1])[: len(at)])
+    odd = np.diff(np.append(starts, len(at))) % 2 == 1
+    marks = np.zeros(n << _PARITY_BITS, bool)
+    marks[at[starts[odd]]] = True
+    longs = np.packbits(marks).view(np.int64)
+    return pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * ((1 << _PARITY_BITS) // 64)), pa.array(longs))
+
+
 def _summaries(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches):
@@ -135,8 +152,14 @@ def _summaries(size: int):
             n = batch.num_rows
             sums = [_totals(owner, mix(codes + _U(salt)), n).view(np.int64) for salt in (1, 2)]
             yield pa.RecordBatch.from_arrays(
-                [batch["key"], batch["id"], pa.array(np.bincount(owner, minlength=n).astype(np.int64)), *map(pa.array, sums)],
-                ["key", "id", "n", "s1", "s2"],
+                [
+                    batch["key"],
+                    batch["id"],
+                    pa.array(np.bincount(owner, minlength=n).astype(np.int64)),
+                    *map(pa.array, sums),
+                    _parities(owner, codes, n),
+                ],
+                ["key", "id", "n", "s1", "s2", "parities"],
             )
 
     return run
@@ -307,32 +330,51 @@ def _held_keys(known):
     return run
 
 
-def _verified(size: int, num: int, den: int):
-    """Rows (a, b) whose texts ``ta`` and ``tb`` link; overlaps are counted per fragment and summed."""
+def _partial_overlaps(size: int):
+    """(a, b, fragment, common, total) of the texts ``ta`` and ``tb``: one row per pair and fragment that
+    holds a shingle of either, with the shingles that both have there and the sum of both sizes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for half in steps(iter([whole]), "ta"):
                 for batch in steps(iter([half]), "tb"):
-                    n = batch.num_rows
+                    cells = batch.num_rows << _COUNTED_BITS
                     sides = [_sets(Texts(batch[c]), size)[:2] for c in ("ta", "tb")]
                     owner = np.concatenate([s[0] for s in sides])
                     codes = np.concatenate([s[1] for s in sides])
                     order = _order(owner, codes)
                     owner, codes = owner[order], codes[order]
+                    cell = (owner << _COUNTED_BITS) + (codes >> _U(64 - _COUNTED_BITS)).astype(np.int64)
                     both = np.flatnonzero((owner[1:] == owner[:-1]) & (codes[1:] == codes[:-1]))
-                    fragment = (codes[both] >> _U(60)).astype(np.int64)
-                    partial = np.bincount(owner[both] * _COUNTED + fragment, minlength=n * _COUNTED)
-                    overlap = partial.reshape(n, _COUNTED).sum(axis=1)
-                    union = np.bincount(owner, minlength=n) - overlap
-                    linked = np.flatnonzero((union > 0) & (den * overlap >= num * union))
+                    common = np.bincount(cell[both], minlength=cells)
+                    total = np.bincount(cell, minlength=cells)
+                    seen = np.flatnonzero(total)
+                    pair = pa.array(seen >> _COUNTED_BITS)
                     yield pa.RecordBatch.from_arrays(
-                        [batch["a"].take(pa.array(linked)), batch["b"].take(pa.array(linked))], ["a", "b"]
+                        [
+                            batch["a"].take(pair),
+                            batch["b"].take(pair),
+                            pa.array((seen & ((1 << _COUNTED_BITS) - 1)).astype(np.int32)),
+                            pa.array(common[seen]),
+                            pa.array(total[seen]),
+                        ],
+                        ["a", "b", "fragment", "common", "total"],
                     )
 
     return run
 
 
+def linked(partial: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs (a, b) that link, from their partial overlaps (a, b, fragment, common, total)."""
+    sums = partial.groupBy("a", "b").agg(F.sum("common").alias("common"), F.sum("total").alias("total"))
+    return sums.filter(F.col("common") * den >= (F.col("total") - F.col("common")) * num).select("a", "b")
+
+
+def _odd_fragments(left: str, right: str) -> Column:
+    """The number of fragments whose parities differ: never more than the shingles that one set alone has."""
+    return F.aggregate(F.zip_with(left, right, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
+
+
 def jaccard_components(
     docs: DataFrame,
     size: int = 5,
@@ -356,7 +398,7 @@ def jaccard_components(
     num, den = similarity
     base = keyed(docs, id_col, text_col)
     small = stored(
-        base.mapInArrow(_summaries(size), "key long, id long, n long, s1 long, s2 long"), "sets"
+        base.mapInArrow(_summaries(size), "key long, id long, n long, s1 long, s2 long, parities array<long>"), "sets"
     )
     # sets equal in size and in both sums of hashes are one class; its smallest key stands for it
     classes = small.filter("n > 0").groupBy("n", "s1", "s2").agg(F.min("key").alias("rep"))
@@ -383,7 +425,11 @@ def jaccard_components(
     held = stored(held.join(hubs, "hub").select("segment", "key", "n", F.col("hub_rep").alias("hub")), "meetings")
     known.destroy()
 
-    sizes = reps.filter("key = rep").select(F.col("key").alias("other"), F.col("n").alias("m"))
+    def with_parities(pairs: DataFrame, left: str, right: str) -> DataFrame:
+        """``pairs`` with ``m``, the size of the right set, and ``odd``, the least by which both differ."""
+        own = small.select(F.col("key").alias(left), F.col("parities").alias("p"))
+        other = small.select(F.col("key").alias(right), F.col("n").alias("m"), F.col("parities").alias("q"))
+        return pairs.join(own, left).join(other, right).withColumn("odd", _odd_fragments("p", "q")).drop("p", "q")
 
     def texts_of(keys: DataFrame):
         """Texts of the keys in column ``key``, those of other documents, but for few, left out, and the
@@ -411,15 +457,18 @@ def jaccard_components(
 
     def verify(pairs: DataFrame) -> DataFrame:
         """The links among pairs (a, b, n) of representatives; n is the size of a."""
-        fit = pairs.join(sizes, pairs["b"] == sizes["other"]).filter(
-            (F.least("n", "m") * den >= F.greatest("n", "m") * num)
+        fit = with_parities(pairs, "a", "b").filter(
+            f"least(n, m) * {den} >= greatest(n, m) * {num} and odd * {den + num} <= (n + m) * {den - num}"
         )
         fit = stored(fit.select("a", "b"), "fit")
 
-        def linked(rows: DataFrame) -> DataFrame:
-            return rows.select("a", "b", "ta", "tb").mapInArrow(_verified(size, num, den), "a long, b long")
+        def links_of(rows: DataFrame) -> DataFrame:
+            partial = rows.select("a", "b", "ta", "tb").mapInArrow(
+                _partial_overlaps(size), "a long, b long, fragment int, common long, total long"
+            )
+            return linked(partial, num, den)
 
-        return with_texts(fit, "a", "b", linked, "links")
+        return with_texts(fit, "a", "b", links_of, "links")
 
     def labelled(frame: DataFrame, labels: DataFrame, column: str, out: str) -> DataFrame:
         own = labels.select(F.col("node").alias(column), F.col("label").alias("_label"))
@@ -441,14 +490,17 @@ def jaccard_components(
     # and those still under one segment with another component by their differences from its hub
     split = labelled(held, labels, "key", "x")
     mixed = split.groupBy("segment").agg(F.min("x").alias("low"), F.max("x").alias("high")).filter("low < high").select("segment")
-    met = stored(split.join(mixed, "segment").filter("key != hub").select("key", "hub", "n", "x").distinct(), "met")
+    met = stored(
+        with_parities(split.join(mixed, "segment").filter("key != hub").select("key", "hub", "n", "x").distinct(), "key", "hub"), "met"
+    )
 
     def differing(rows: DataFrame) -> DataFrame:
         return rows.select("key", "hub", "n", "x", "ta", "tb").mapInArrow(
             _differences(size, num, den), "key long, hub long, n long, x long, m long, d long, apart boolean, tokens array<long>"
         )
 
-    differ = with_texts(met, "key", "hub", differing, "differences")
+    # where parities tell that more differs than the hub has, the differences themselves do not matter
+    differ = with_texts(met.filter("odd <= m").select("key", "hub", "n", "x"), "key", "hub", differing, "differences")
 
     def crossing(tokens: DataFrame) -> DataFrame:
         """The tokens that sets of different components have."""
@@ -472,7 +524,8 @@ def jaccard_components(
     )
     # sets that have little in common with the hub, or may be similar to such: with all that share
     # one of their rarest shingles, as two sets with this similarity must
-    distant = differ.filter(f"d + {gap} * (n + n * {den} / {num}) / {wide} + 1 >= m").select("key", "n", "x").distinct()
+    distant = differ.filter(f"d + {gap} * (n + n * {den} / {num}) / {wide} + 1 >= m").select("key", "n", "x")
+    distant = distant.union(met.filter("odd > m").select("key", "n", "x")).distinct()
     distant = stored(distant, "distant")
     held, wanted = texts_of(distant)
     own = stored(distant.join(held, "key"), "distant_texts")
