@@ -508,12 +508,14 @@ def jaccard_components(
         return stored(tokens.join(of, "token"), "tokens")
 
     close = differ.filter("d <= m")
+    counts = _counted(close.select("tokens"))
     tokens = crossing(
         close.mapInArrow(
-            _rarest_differences(num, den, _counted(close.select("tokens"))),
+            _rarest_differences(num, den, counts),
             "token long, key long, n long, x long, d long, place long, short boolean, apart boolean",
         )
     )
+    counts.destroy()
     left = tokens.filter("short").select("token", *(F.col(c).alias(f"{c}_a") for c in ("key", "n", "x", "d", "place")))
     right = tokens.filter("apart").select("token", *(F.col(c).alias(f"{c}_b") for c in ("key", "n", "x", "d", "place")))
     wide, gap = den + num, den - num
@@ -530,9 +532,9 @@ def jaccard_components(
     held, wanted = texts_of(distant)
     own = stored(distant.join(held, "key"), "distant_texts")
     wanted.destroy()
-    tokens = crossing(
-        own.mapInArrow(_rarest(size, num, den, _counted(own.select("text"), size)), "token long, key long, n long, x long, place long")
-    )
+    counts = _counted(own.select("text"), size)
+    tokens = crossing(own.mapInArrow(_rarest(size, num, den, counts), "token long, key long, n long, x long, place long"))
+    counts.destroy()
     left = tokens.select("token", F.col("key").alias("a"), "n", F.col("x").alias("xa"), F.col("place").alias("pa"))
     right = tokens.select("token", F.col("key").alias("b"), F.col("x").alias("xb"), F.col("n").alias("nb"), F.col("place").alias("pb"))
     fourth = left.join(right, "token").filter(
