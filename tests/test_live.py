@@ -155,6 +155,18 @@ def test_rejected_ticks_leave_by_the_second_door(spark, run_dir):
     assert tuple(total) == ("OLD,X", 4, "1970-01-01T00:00:00+00:00", "1970-01-01T00:02:00+00:00")
 
 
+def test_without_rejected_ticks_their_table_is_empty(spark, run_dir):
+    feed = Replay(spark, run_dir, None).feed([tick(1000, 10, 1, 1)], [heartbeat(60501)], [heartbeat(60502)])
+    records = parse_records(file_topics(feed.spark, f"{run_dir}/topic/*", max_files_per_trigger=1))
+    for _ in range(2):  # a restart leaves the table as it is
+        candle_table.stream_to_tables(
+            stream_candles_and_late(records), f"{run_dir}/out", f"{run_dir}/late", f"{run_dir}/checkpoint", trigger={"availableNow": True}
+        ).awaitTermination()
+        late = spark.read.parquet(f"{run_dir}/late")
+        assert late.columns == ["symbol", "trade_id", "timestamp", "arrival", "start", "bound", "batch_id"] and late.isEmpty()
+    assert candle_table.read_candles(spark, f"{run_dir}/out").count() == 1
+
+
 def test_hot_symbol_keeps_ranges_not_ids(spark, run_dir):
     """Gapless ids with repeats and disorder: the same candles as in batch, a handful of bounds as state."""
     rng = random.Random(1)

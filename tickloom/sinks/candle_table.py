@@ -249,8 +249,11 @@ def stream_to_tables(
     """``stream_to_table`` for ``stream_candles_and_late``: rejected ticks go to a table of their own.
 
     Both come from one computation of the micro-batch. Rejected ticks carry ``batch_id``, so that a
-    repeated batch can be told from a repeated tick.
+    repeated batch can be told from a repeated tick. Their table is there from the start, empty until
+    a tick is rejected.
     """
+    late_schema = T.StructType([*late_rows(tagged).schema.fields, T.StructField("batch_id", T.LongType())])
+    tagged.sparkSession.createDataFrame([], late_schema).write.format(file_format).mode("ignore").save(late_path)
 
     def append(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
