@@ -10,6 +10,7 @@ from conftest import Replay, heartbeat, record_frame, tick
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
+from tickloom import suite
 from tickloom.operators import readiness
 from tickloom.operators.candles import candles
 from tickloom.operators.gapfill import candles_filled
@@ -167,6 +168,18 @@ def test_without_rejected_ticks_their_table_is_empty(spark, run_dir):
     assert candle_table.read_candles(spark, f"{run_dir}/out").count() == 1
 
 
+def test_landed_runs_have_several_files_and_are_one_micro_batch_each(spark, run_dir, monkeypatch):
+    monkeypatch.setattr(suite, "FILE_ROWS", 10)
+    place = list(range(200)) + [790] * 5  # uneven: three runs hold rows, of them the last few
+    rows = spark.createDataFrame([(p, f"S{p % 7}") for p in place], "place long, symbol string")
+    stream = suite._follow(spark, rows, "place", f"{run_dir}/in")
+    assert {len(spark.read.schema(rows.schema).parquet(f"{run_dir}/in/run-{i:03d}").inputFiles()) for i in range(8)} == {10}
+    batches = {}
+    writer = stream.writeStream.foreachBatch(lambda batch, i: batches.update({i: sorted(r.place for r in batch.collect())}))
+    writer.option("checkpointLocation", f"{run_dir}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    assert batches == {i: [p for p in place if p * 8 // 791 == i] for i in range(8)}
+
+
 def test_hot_symbol_keeps_ranges_not_ids(spark, run_dir):
     """Gapless ids with repeats and disorder: the same candles as in batch, a handful of bounds as state."""
     rng = random.Random(1)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -585,16 +586,31 @@ def heartbeat_advances(spark, sf_dir):
 
 # --- streams over many micro-batches
 
-#: Micro-batches of a replay: one file each.
+#: Micro-batches of a replay: one run of positions each.
 BATCHES = 8
+#: Rows that a landed file holds, about.
+FILE_ROWS = 250_000
 
 
-def _land_runs(df: DataFrame, place: str, folder: str) -> None:
-    """Each run of positions as a file of its own, in order."""
+def _land_runs(df: DataFrame, place: str, folder: str) -> int:
+    """Each run of positions as files of its own, in order; returns how many files make a run.
+
+    The rows are computed once, split by run and written by as many tasks as a run has files. A run
+    with fewer rows than the largest gets empty files, so that this many files are one micro-batch.
+    """
+    spark, staged = df.sparkSession, work_dir(df.sparkSession, "runs")
     length = df.agg((F.max(place) + 1).alias("length")).first()["length"]
     runs = df.withColumn("_run", F.floor(F.col(place) * BATCHES / F.lit(length)).cast("int"))
-    for i in range(BATCHES):
-        runs.filter(F.col("_run") == i).drop("_run").coalesce(1).write.parquet(f"{folder}/run-{i:03d}")
+    runs.write.partitionBy("_run").parquet(staged)
+    held = spark.read.schema(runs.schema).parquet(staged)
+    counts = {r["_run"]: r["count"] for r in held.groupBy("_run").count().collect()}
+    needed = [max(1, math.ceil(counts.get(i, 0) / FILE_ROWS)) for i in range(BATCHES)]
+    for i, files in enumerate(needed):
+        part, to = held.filter(F.col("_run") == i).drop("_run"), f"{folder}/run-{i:03d}"
+        (part.coalesce(1) if files == 1 else part.repartition(files)).write.parquet(to)
+        for _ in range(max(needed) - len(spark.read.schema(df.schema).parquet(to).inputFiles())):
+            df.limit(0).coalesce(1).write.mode("append").parquet(to)
+    return max(needed)
 
 
 def _replaying(spark) -> SparkSession:
@@ -602,9 +618,10 @@ def _replaying(spark) -> SparkSession:
     return streaming_session(spark, min(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism))
 
 
-def _follow(spark, df: DataFrame, folder: str) -> DataFrame:
-    """A stream over landed runs, one per micro-batch."""
-    return _replaying(spark).readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/run-*")
+def _follow(spark, df: DataFrame, place: str, folder: str) -> DataFrame:
+    """A stream over ``df``, landed in runs of positions, one per micro-batch."""
+    files = _land_runs(df, place, folder)
+    return _replaying(spark).readStream.schema(df.schema).option("maxFilesPerTrigger", files).parquet(f"{folder}/run-*")
 
 
 def _finish(stream: DataFrame, folder: str) -> None:
@@ -620,8 +637,7 @@ def stream_readiness(spark, sf_dir):
     marked = A.ticks_from_events(events, A.user_symbol()).select("symbol", "timestamp", "arrival")
     marked = marked.join(events.select(F.col("event_id").alias("arrival"), is_reset.alias("reset")), "arrival")
     folder = work_dir(spark, "readiness")
-    _land_runs(marked, "arrival", f"{folder}/in")
-    records = _follow(spark, marked, f"{folder}/in")
+    records = _follow(spark, marked, "arrival", f"{folder}/in")
     fired = live.stream_readiness(records.filter("not reset"), records.filter("reset"))
     _finish(fired, folder)
     return spark.read.schema(live.TRIGGERED).parquet(f"{folder}/out")
@@ -632,8 +648,7 @@ def stream_subscriptions(spark, sf_dir):
     """``subscription_audit`` live, and what the registry lists after each micro-batch."""
     log = _subscription_log(spark, sf_dir)
     folder = work_dir(spark, "registry")
-    _land_runs(log, "seq", f"{folder}/in")
-    _finish(live.stream_subscriptions(_follow(spark, log, f"{folder}/in")), folder)
+    _finish(live.stream_subscriptions(_follow(spark, log, "seq", f"{folder}/in")), folder)
     audit = spark.read.schema(live.AUDITED).parquet(f"{folder}/out")
     parts = [audit.select(F.lit(-1).alias("batch"), "seq", "action", "symbol", "is_noop")]
     for i in range(BATCHES):
@@ -656,8 +671,8 @@ def stream_waiting(spark, sf_dir):
     start = both.agg(F.min("at").alias("start")).first()["start"] or 0
     records = both.unionByName(past).select(F.lit("all").alias("run"), "symbol", "at", "request", (F.col("at") - start).alias("place"))
     folder = work_dir(spark, "waiting")
-    _land_runs(records, "place", f"{folder}/in")
-    _finish(live.stream_waiting(_follow(spark, records, f"{folder}/in"), timeout_s=READY_WITHIN_S, clock="event"), folder)
+    landed = _follow(spark, records, "place", f"{folder}/in")
+    _finish(live.stream_waiting(landed, timeout_s=READY_WITHIN_S, clock="event"), folder)
     out = spark.read.schema(live.WAITED).parquet(f"{folder}/out")
     return out.select("symbol", "started_ms", F.coalesce("elapsed_ms", F.lit(-1).cast("long")).alias("elapsed_ms"), "ready")
 
@@ -679,10 +694,10 @@ def _tagged_run(spark, sf_dir) -> str:
     """Ticks in eight micro-batches through the candles with their rejected ticks, in two tables."""
     folder = work_dir(spark, "tagged")
     ticks = _reversed_runs(_ticks(spark, sf_dir))
-    _land_runs(A.topic_from_ticks(ticks), "offset", f"{folder}/topic")
+    files = _land_runs(A.topic_from_ticks(ticks), "offset", f"{folder}/topic")
     closing = _closing_heartbeat(ticks, HOUR_MS)
     closing.coalesce(1).write.parquet(f"{folder}/topic/run-{BATCHES:03d}")
-    records = topic.parse_records(topic.file_topics(_replaying(spark), f"{folder}/topic/run-*", max_files_per_trigger=1))
+    records = topic.parse_records(topic.file_topics(_replaying(spark), f"{folder}/topic/run-*", max_files_per_trigger=files))
     running = candle_table.stream_to_tables(
         S.stream_candles_and_late(records, size_ms=HOUR_MS), f"{folder}/out", f"{folder}/late", f"{folder}/checkpoint",
         size_ms=HOUR_MS, trigger={"availableNow": True}, summaries=f"{folder}/summaries",
@@ -708,9 +723,9 @@ def stream_write_summary(spark, sf_dir):
     """``write_summary`` of a stream, from the rows its commits logged."""
     folder = work_dir(spark, "summaries")
     ticks = _ticks(spark, sf_dir)
-    _land_runs(A.topic_from_ticks(ticks), "offset", f"{folder}/topic")
+    files = _land_runs(A.topic_from_ticks(ticks), "offset", f"{folder}/topic")
     _closing_heartbeat(ticks, WINDOW_MS).coalesce(1).write.parquet(f"{folder}/topic/run-{BATCHES:03d}")
-    records = topic.parse_records(topic.file_topics(_replaying(spark), f"{folder}/topic/run-*", max_files_per_trigger=1))
+    records = topic.parse_records(topic.file_topics(_replaying(spark), f"{folder}/topic/run-*", max_files_per_trigger=files))
     running = candle_table.stream_to_table(
         S.stream_candles(records), f"{folder}/out", f"{folder}/checkpoint", trigger={"availableNow": True}, summaries=f"{folder}/summaries"
     )
