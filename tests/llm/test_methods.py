@@ -133,6 +133,15 @@ def test_hot_finding_leaves_the_sample_whole(spark):
     assert all(r.secret for r in found if r.candidate.startswith("9f8a"))
 
 
+def test_all_findings_train_the_forest(spark, monkeypatch):
+    given, features = [], secrets.features
+    monkeypatch.setattr(secrets, "features", lambda rows, *learned: given.append(rows) or features(rows, *learned))
+    text = F.concat(F.lit("commit "), F.lpad(F.col("id").cast("string"), 20, "0"), F.lit(" merged"))
+    docs = spark.range(21_000).select(F.col("id").alias("doc_id"), text.alias("text"))
+    secrets.train(secrets.candidates(docs))
+    assert given[0].filter("before = 'commit ' and after = ' merged'").select("candidate").distinct().count() == 21_000
+
+
 def test_parities_bound_the_difference():
     rng = np.random.default_rng(3)
     words = np.array([f"w{i}" for i in range(400)])

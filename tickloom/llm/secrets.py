@@ -8,6 +8,8 @@ the data that their assignment labels. Built-in column functions and Spark's own
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -19,8 +21,8 @@ from tickloom.llm.store import stored
 _TOKEN = "A-Za-z0-9+/_=-"
 #: Runs of 16 token characters or more with a digit.
 CANDIDATE = f"(?<![{_TOKEN}])(?=[A-Za-z+/_=-]*[0-9])[{_TOKEN}]{{16,}}"
-#: Findings of the data that train the forest: the bound of the sample, by smallest hash.
-SAMPLE = 20_000
+#: Findings of the data that one task holds for training.
+PART_ROWS = 20_000
 #: Ordinary words that the dictionary has, the most frequent ones around sampled findings.
 DICTIONARY = 400
 
@@ -124,25 +126,32 @@ def _labelled(spark) -> DataFrame:
     return spark.range(1).select(F.inline(F.array(*rows)))
 
 
-def train(found: DataFrame, sample: int = SAMPLE):
-    """(words, transitions, forest) learned from labelled findings.
+def train(found: DataFrame, sample: int | None = None):
+    """(words, transitions, forest) learned from labelled findings: all distinct ones of the data.
 
-    The sample has the ``sample`` distinct findings with the smallest hashes. Hashes are first
+    They are dealt by hash and put in order, so that every run trains the same forest. With ``sample``
+    only that many with the smallest hashes train. Hashes are then first
     counted by their leading bits, so only findings below the cut are sorted, wherever copies of one
     finding pile up. The built-in list, repeated
-    to weigh a tenth of it, keeps both labels present whatever the data holds. Dictionary and
-    transitions come from the words around sampled findings, ``DICTIONARY`` and at most a few
+    to weigh a tenth of them, keeps both labels present whatever the data holds. Dictionary and
+    transitions come from the words around these findings, ``DICTIONARY`` and at most a few
     hundred of them.
     """
     spark = found.sparkSession
+    order = ["hash", "candidate", "before", "after"]
     once = found.groupBy("candidate", "before", "after").agg(F.min("path").alias("path"))
     once = stored(once.withColumn("hash", F.xxhash64("candidate", "before", "after")), "distinct_findings")
-    lead = F.shiftright("hash", 48)
-    counts = once.groupBy(lead.alias("lead")).count()  # 65,536 rows at most
-    before = counts.withColumn("before", F.expr("sum(count) over (order by lead) - count"))
-    cut = before.filter(F.col("before") < sample).agg(F.max("lead")).first()[0]
-    kept = once.filter(lead <= F.lit(cut)) if cut is not None else once
-    seen = stored(kept.orderBy("hash", "candidate", "before", "after").limit(sample), "findings")
+    if sample is None:
+        parts = max(1, math.ceil(once.count() / PART_ROWS))
+        seen = once.repartition(parts, "hash").sortWithinPartitions(*order)
+    else:
+        lead = F.shiftright("hash", 48)
+        counts = once.groupBy(lead.alias("lead")).count()  # 65,536 rows at most
+        before = counts.withColumn("before", F.expr("sum(count) over (order by lead) - count"))
+        cut = before.filter(F.col("before") < sample).agg(F.max("lead")).first()[0]
+        kept = once.filter(lead <= F.lit(cut)) if cut is not None else once
+        seen = kept.orderBy(*order).limit(sample)
+    seen = stored(seen, "findings")
     around = seen.select(F.explode(F.split(F.lower(F.concat_ws(" ", "before", "after")), r"[^\p{L}]+")).alias("word")).filter("length(word) >= 4")
     top = around.groupBy("word").count().orderBy(F.desc("count"), "word").limit(DICTIONARY).collect()
     words = sorted((r["word"] for r in top), key=lambda w: (-len(w), w))
@@ -159,7 +168,7 @@ def train(found: DataFrame, sample: int = SAMPLE):
     return words, pairs, forest
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str = "source", sample: int = SAMPLE) -> DataFrame:
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str = "source", sample: int | None = None) -> DataFrame:
     """One row per candidate: ``id, path, start, candidate, score, secret``.
 
     ``score`` is the forest's chance that the candidate is a secret, ``secret`` whether it is a
