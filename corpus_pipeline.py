@@ -53,13 +53,16 @@ def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
     Secrets depend on text and source alone, so rows that share both share their secrets: the join
     needs no id, and ids may repeat or be null. Other columns pass through whatever their names.
+    Rows without a candidate hold no secret and go past the join, so their texts are not shuffled.
     """
     rows = _packed(docs).withColumnRenamed("id", "others").withColumn("before", F.col("text"))
     if "source" in docs.columns:
         rows = rows.withColumn("source", F.col("others.source"))
     parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("text", "source") if c in rows.columns]
     rows = rows.withColumn("id", F.sha2(F.concat_ws("\x00", *parts), 256))
-    clean = secrets.redact(rows, secrets.scan(rows, "id", "text"), "id")
+    some = F.coalesce(F.col("text").rlike(secrets.CANDIDATE), F.lit(False))
+    suspects = rows.filter(some)
+    clean = secrets.redact(suspects, secrets.scan(suspects, "id", "text"), "id").unionByName(rows.filter(~some))
     changed = ~F.col("text").eqNullSafe(F.col("before"))
     columns = []
     for c in docs.columns:
