@@ -1,6 +1,7 @@
 """Parts of the methods that results depend on, held against brute force."""
 
 from math import log2
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -8,7 +9,7 @@ import pytest
 from conftest import SF_DIR
 from pyspark.sql import functions as F
 
-from tickloom.llm import jaccard, language, licenses, quality, secrets, shards, substrings
+from tickloom.llm import jaccard, language, licenses, pieces, quality, secrets, shards, substrings
 from tickloom.llm.words import Texts
 
 
@@ -142,6 +143,15 @@ def test_all_findings_train_the_forest(spark, monkeypatch):
     assert given[0].filter("before = 'commit ' and after = ' merged'").select("candidate").distinct().count() == 21_000
 
 
+def test_plain_words_need_no_decoding():
+    with open(pieces.model_path(), "rb") as file:
+        encoder = pieces.Encoder(file.read())
+    lib, encoder.lib = encoder.lib, SimpleNamespace(encode=encoder.lib.encode)
+    for text in ["", " ", "  two  words ", "a ▁ mark ▁▁x", "é漢\u0301 \U0001f600 \ufffd\x00\t\r\n end", "<unk> <s> </s> <0x41>"]:
+        ids, decoded = encoder.encode(text)
+        assert ids[:-1] == lib.encode(text) and decoded == lib.decode(ids)
+
+
 def test_parities_bound_the_difference():
     rng = np.random.default_rng(3)
     words = np.array([f"w{i}" for i in range(400)])

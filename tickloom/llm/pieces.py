@@ -78,6 +78,8 @@ class Encoder:
         self.width = np.array([1 if p.type == 6 else len(p.piece.encode()) for p in spec.pieces], np.int64)
         self.by_word = not self.map.units and not self.trim and not any(SPACE in p.piece.lstrip(SPACE) for p in spec.pieces)
         self.probe = next(i for i, p in enumerate(spec.pieces) if p.type == 1 and p.piece.isascii())
+        # pieces that stand for their own text or byte
+        self.plain = frozenset(i for i, p in enumerate(spec.pieces) if p.type in (1, 6))
         self.space = self.lib.piece_to_id(SPACE)
         self.known: dict[str, tuple[list[int], str]] = {}
 
@@ -126,9 +128,14 @@ class Encoder:
         if new:
             ids = self.lib.encode([w[1:] if w[0] in _SPACES else w for w in new], num_threads=1)
             ids = [x or [self.space] for x in ids]  # a lone space at the end of a text
-            back = self.lib.decode([[self.probe, *x] for x in ids], num_threads=1)
-            cut = len(self.lib.decode([self.probe]))
-            known.update(zip(new, zip(ids, (b[cut:] for b in back), strict=True), strict=True))
+            # without a map, plain pieces join to the word they came from; others are decoded
+            back = [w.replace(SPACE, " ") for w in new]
+            odd = [k for k, x in enumerate(ids) if not self.plain.issuperset(x)]
+            if odd:
+                cut = len(self.lib.decode([self.probe]))
+                for k, text in zip(odd, self.lib.decode([[self.probe, *ids[k]] for k in odd], num_threads=1), strict=True):
+                    back[k] = text[cut:]
+            known.update(zip(new, zip(ids, back, strict=True), strict=True))
         return [known[w] for w in found]
 
     def encode(self, text: str) -> tuple[list[int], str]:
