@@ -167,6 +167,56 @@ def test_parities_bound_the_difference():
             assert (odd == 0) == (a == b)
 
 
+def test_similar_sets_share_the_segments_they_need():
+    """Of sets that link, each has as many segments in common with the other as ``need`` says, and the
+    least common one in any order is among the first of both."""
+    rng = np.random.default_rng(5)
+    words = np.array([f"w{i}" for i in range(30000)])
+    texts = []
+    for n in (8, 12, 20, 45, 70, 150, 151, 400, 2500):
+        base = rng.choice(words, n)
+        for cut in range(0, max(2, n // 9), max(1, n // 80)):
+            texts += [" ".join(base[cut:]), " ".join(np.append(base, rng.choice(words, cut)))]
+    for size, num, den in ((3, 9, 10), (5, 8, 10)):
+        owner, codes, _ = jaccard._sets(Texts(pa.array(texts)), size)
+        sets = [set(codes[owner == i].tolist()) for i in range(len(texts))]
+        rows = {}
+        for o, segment, upper, need in zip(*jaccard._segments(owner, codes, len(texts), jaccard._Levels(num, den, 2600)), strict=True):
+            rows.setdefault((o, bool(upper)), ({}, need))[0][int(segment)] = None
+        links = 0
+        for i, a in enumerate(sets):
+            for j, b in enumerate(sets[:i]):
+                if a != b and a and den * len(a & b) >= num * len(a | b):
+                    met = []
+                    for (o, upper), (x, need_a) in rows.items():
+                        for (p, lower), (y, need_b) in rows.items():
+                            if (o, p) == (i, j) and len(common := x.keys() & y.keys()) >= max(need_a, need_b):
+                                met.append(all(sorted(z).index(min(common)) <= len(z) - need for z, need in ((x, need_a), (y, need_b))))
+                    links += 1
+                    assert any(met)
+        assert links > 100
+
+
+def test_a_common_passage_makes_no_meetings(spark, monkeypatch):
+    """Texts that share a passage but are not similar do not meet; near copies among them do."""
+    rng = np.random.default_rng(6)
+    passage = [f"p{i}" for i in range(40)]
+    bodies = [[*passage, *(f"b{i}" for i in rng.integers(0, 10**9, 120))] for _ in range(40)]
+    texts = [" ".join(b) for b in bodies] + [" ".join(b[:-k]) for k, b in enumerate(bodies[:6], 1)]
+    seen = {}
+    kept = jaccard.stored
+
+    def noted(df, name):
+        out = kept(df, name)
+        seen.setdefault(name, out)
+        return out
+
+    monkeypatch.setattr(jaccard, "stored", noted)
+    found = jaccard.jaccard_components(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), 5, (8, 10))
+    assert {r.key: r.component for r in found.collect()} == {i: i if i < 40 else i - 40 for i in range(46)}
+    assert {r.key for r in seen["meetings"].select("key").collect()} == {*range(6), *range(40, 46)}
+
+
 def test_overlaps_are_sums_of_fragments(spark):
     """A pair links by the sum of all its rows: with any one fragment's row gone, these pairs do not."""
     base = [f"w{i}" for i in range(200)]

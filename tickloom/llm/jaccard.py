@@ -6,6 +6,12 @@ shingles, so with more fragments than that at least one segment is the same in b
 meet only where a whole segment is equal. For each pair that meets, overlaps are counted fragment
 by fragment, one row each, and Spark sums the rows of a pair.
 
+Sets that are similar have more than one segment in common: of the f segments of a set that are not
+empty, all but the d that the shingles of one set alone can spoil. With the segments of every set
+in one order, the least common one is thus among the first f - (f - d) + 1 of both. That order
+is by the number of documents that have a segment, so documents meet under their rarest ones, and
+those with few segments of others, such as phrases that many texts have, do not meet at all.
+
 Every set also has the parities of its sizes in 1,024 fine fragments. Where these differ, the sets
 differ in a shingle of that fragment, so the number of such fragments is at most the number of
 shingles that only one of them has: pairs with too many are no links, and their texts stay put.
@@ -24,7 +30,7 @@ from math import ceil, sqrt
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.llm.bits import bitmap, bits_for, holds
@@ -92,15 +98,19 @@ class _Levels:
         return np.searchsorted(self.top, sizes)
 
 
-def _segments(owner: np.ndarray, codes: np.ndarray, n: int, levels: _Levels) -> tuple[np.ndarray, np.ndarray]:
-    """(owner, hash) of the segments under which each set may meet a similar, different one."""
+def _segments(
+    owner: np.ndarray, codes: np.ndarray, n: int, levels: _Levels
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(owner, hash, upper, need) of the segments under which each set may meet a similar, different one:
+    whether they are cut for larger sets than its own, and how many of those of this cut it has in
+    common with any similar set at least."""
     sizes = np.bincount(owner, minlength=n)
     first = np.concatenate([[0], np.cumsum(sizes)[:-1]])
     partner = sizes * levels.den // levels.num
     alone = (partner == sizes) & ((levels.den - levels.num) * 2 * sizes // (levels.den + levels.num) < 2)
     own, upper = levels.of(sizes), levels.of(partner)
     value = mix(codes)
-    owners, hashes = [], []
+    owners, hashes, uppers, needs = [], [], [], []
     for level, keep in ((own, ~alone & (sizes > 0)), (upper, ~alone & (sizes > 0) & (upper > own))):
         chosen = keep[owner]
         o, c, v = owner[chosen], codes[chosen], value[chosen]
@@ -117,14 +127,21 @@ def _segments(owner: np.ndarray, codes: np.ndarray, n: int, levels: _Levels) ->
         hashes.append(mix(np.add.reduceat(v, starts) ^ place))
         # a set with more empty segments than the slack allows for also meets others in those
         filled = np.bincount(o, minlength=n)
+        # the shingles that one of two similar sets of this level has alone spoil a segment each
+        spoilt = (levels.den - levels.num) * (sizes + np.minimum(levels.top[level], partner)) // (levels.den + levels.num)
+        need = np.maximum(1, filled - spoilt)
+        mark = len(owners)
         for d in np.flatnonzero(keep & (levels.cuts[level] - filled > levels.slack[level])):
             present = fragment[o == d].astype(np.int64)
             empty = np.setdiff1d(np.arange(levels.cuts[level[d]]), present).astype(_U)
             owners.append(np.full(len(empty), d))
             hashes.append(mix(mix((_U(level[d]) << _U(40)) | empty) ^ _U(0x5E67E47)))
+        for of in owners[mark - 1 :]:
+            uppers.append(np.full(len(of), level is upper))
+            needs.append(need[of])
     if not owners:
-        return np.zeros(0, np.int64), np.zeros(0, _U)
-    return np.concatenate(owners), np.concatenate(hashes)
+        return np.zeros(0, np.int64), np.zeros(0, _U), np.zeros(0, bool), np.zeros(0, np.int64)
+    return tuple(map(np.concatenate, (owners, hashes, uppers, needs)))
 
 
 def _totals(owner: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
@@ -166,16 +183,17 @@ def _summaries(size: int):
 
 
 def _segment_rows(size: int, levels: _Levels, known=None, bits: int = 0):
-    """(segment, key) rows; with a bitmap, only those whose segment may be known, without one at most
-    two of a segment and step, those with its smallest and largest key, which tell as much about it."""
+    """(segment, key) rows; with a bitmap, also ``upper`` and ``need``, and only those whose segment may be
+    known, without one at most two of a segment and step, those with its smallest and largest key,
+    which tell as much about whether it is shared."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches):
             owner, codes, _ = _sets(Texts(batch["text"]), size)
-            owner, segment = _segments(owner, codes, batch.num_rows, levels)
+            owner, segment, upper, need = _segments(owner, codes, batch.num_rows, levels)
             if known is not None:
                 near = holds(known.value, segment >> _U(64 - bits))
-                owner, segment = owner[near], segment[near]
+                owner, segment, upper, need = owner[near], segment[near], upper[near], need[near]
             key = batch["key"].to_numpy()[owner]
             if known is None:
                 order = np.argsort(segment)
@@ -186,7 +204,8 @@ def _segment_rows(size: int, levels: _Levels, known=None, bits: int = 0):
                 segment = np.concatenate([segment, segment[many]])
                 if len(begin):
                     key = np.concatenate([np.minimum.reduceat(key, begin), np.maximum.reduceat(key, begin)[many]])
-            yield pa.RecordBatch.from_arrays([pa.array(segment.view(np.int64)), pa.array(key)], ["segment", "key"])
+            columns = [segment.view(np.int64), key] if known is None else [segment.view(np.int64), key, upper, need.astype(np.int32)]
+            yield pa.RecordBatch.from_arrays([*map(pa.array, columns)], ["segment", "key", "upper", "need"][: len(columns)])
         # workers live on after their task: what they no longer need goes back
         pa.default_memory_pool().release_unused()
 
@@ -385,8 +404,8 @@ def jaccard_components(
 ) -> DataFrame:
     """One row per document: ``key, id, n_shingles, component, component_id``.
 
-    Pairs meet with their texts in ``rounds`` parts: more read the texts more often and hold fewer
-    of them on disk at a time.
+    Pairs meet with their texts in up to ``rounds`` parts, of more than an eighth as many pairs as
+    there are documents: more parts read the texts more often and hold fewer of them on disk at a time.
 
     Words are runs without white space after lower-casing A-Z; a set has the distinct shingles of
     ``size`` words, or the whole sequence where there are fewer. Documents link when the overlap
@@ -406,24 +425,24 @@ def jaccard_components(
         small.join(classes, ["n", "s1", "s2"], "left").select("key", "id", "n", F.coalesce("rep", "key").alias("rep")),
         "members",
     )
-    largest = members.agg(F.max("n")).first()[0] or 1
-    levels = _Levels(num, den, largest)
+    largest, total = members.agg(F.max("n"), F.count("*")).first()
+    levels = _Levels(num, den, largest or 1)
     texts = base.select("key", "text")
     # most segments are met once: combining them again before the shuffle would only take memory
     rows = texts.mapInArrow(_segment_rows(size, levels), "segment long, key long").repartition("segment")
-    shared = stored(
-        rows.groupBy("segment").agg(F.min("key").alias("hub"), F.count("*").alias("many")).filter("many > 1").select("segment", "hub"),
-        "segments",
-    )
+    shared = stored(rows.groupBy("segment").agg(F.count("*").alias("many")).filter("many > 1"), "segments")
     bits = bits_for(shared.count())
     known = spark.sparkContext.broadcast(bitmap(shared.select(F.shiftrightunsigned("segment", 64 - bits).alias("cell")), bits))
-    again = texts.mapInArrow(_segment_rows(size, levels, known, bits), "segment long, key long")
-    reps = members.select("key", "rep", "n")
-    hubs = members.select(F.col("key").alias("hub"), F.col("rep").alias("hub_rep"))
-    # each representative under each shared segment, and the segment's smallest representative
-    held = again.join(shared, "segment").join(reps.filter("key = rep").select("key", "n"), "key")
-    held = stored(held.join(hubs, "hub").select("segment", "key", "n", F.col("hub_rep").alias("hub")), "meetings")
+    again = texts.mapInArrow(_segment_rows(size, levels, known, bits), "segment long, key long, upper boolean, need int")
+    reps = members.filter("key = rep").select("key", "n")
+    # each representative under the rarest of its shared segments, and the segment's smallest representative
+    held = again.join(shared, "segment").join(reps, "key")
+    of = Window.partitionBy("key", "upper")
+    held = held.withColumn("place", F.row_number().over(of.orderBy("many", "segment"))).withColumn("all", F.count("*").over(of))
+    held = stored(held.filter("place <= all - need + 1").select("segment", "key", "n"), "held")
     known.destroy()
+    hubs = held.groupBy("segment").agg(F.min("key").alias("hub"), F.max("key").alias("last")).filter("hub < last").drop("last")
+    held = stored(held.join(hubs, "segment"), "meetings")
 
     def with_parities(pairs: DataFrame, left: str, right: str) -> DataFrame:
         """``pairs`` with ``m``, the size of the right set, and ``odd``, the least by which both differ."""
@@ -442,9 +461,9 @@ def jaccard_components(
     def with_texts(pairs: DataFrame, left: str, right: str, work, name: str) -> DataFrame:
         """``work`` on ``pairs`` with both texts as ``ta`` and ``tb``, in rounds: the shuffles of a round,
         in which texts move, are gone before the next one."""
-        parts = []
-        for i in range(rounds):
-            some = pairs.filter(F.pmod(F.xxhash64(right), F.lit(rounds)) == i)
+        parts, needed = [], min(rounds, 1 + 8 * pairs.count() // (total + 1)) if rounds > 1 else 1
+        for i in range(needed):
+            some = pairs.filter(F.pmod(F.xxhash64(right), F.lit(needed)) == i)
             held, wanted = texts_of(some.select(F.explode(F.array(left, right)).alias("key")))
             ta = held.select(F.col("key").alias(left), F.col("text").alias("ta"))
             tb = held.select(F.col("key").alias(right), F.col("text").alias("tb"))
